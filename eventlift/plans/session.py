@@ -10,11 +10,13 @@ def build_session(name: str) -> SparkSession:
 
     Shuffle width is left to the cluster and adaptive execution.  A streaming query
     fixes its width at the first checkpoint, so set ``spark.sql.shuffle.partitions``
-    for the cluster before the first start.
+    for the cluster before the first start.  The method limit is the JVM's: a stage whose
+    generated method is longer would run uncompiled, so Spark splits it instead.
     """
     return (
         SparkSession.builder.appName(name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config(

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlift import schema
 
@@ -37,81 +38,105 @@ DEVICE_AGENTS = {
 }
 BOT_AGENT = "Googlebot/2.1"
 
-_TYPE_RULE = """
-CASE base
-  WHEN 'view' THEN CASE k % 4 WHEN 0 THEN 'page_view' WHEN 1 THEN 'feature_view' ELSE 'question_viewed' END
-  WHEN 'signup' THEN CASE k % 4 WHEN 0 THEN 'session_start' ELSE 'quiz_started' END
-  WHEN 'click' THEN CASE
-      WHEN k % 5 <= 1 THEN 'slider_adjusted'
-      WHEN k % 5 = 2 THEN 'option_selected'
-      WHEN k % 5 = 3 THEN 'option_deselected'
-      WHEN k % 2 = 0 THEN 'cta_clicked'
-      ELSE 'link_clicked' END
-  WHEN 'purchase' THEN CASE
-      WHEN k % 6 <= 1 THEN 'quiz_completed'
-      WHEN k % 6 = 2 THEN 'quiz_step_completed'
-      WHEN k % 6 = 3 THEN 'result_viewed'
-      WHEN k % 6 = 4 THEN 'result_shared'
-      ELSE 'result_saved' END
-  WHEN 'error' THEN CASE k % 5
-      WHEN 0 THEN 'quiz_abandoned' WHEN 1 THEN 'session_end' WHEN 2 THEN 'unknown_type'
-      ELSE 'quiz_step_completed' END
-  ELSE 'unknown_type' END
-"""
+# Event types of each base type, picked by ``k`` modulo the length of the list.
+BASE_TYPES = {
+    "view": ["page_view", "feature_view", "question_viewed", "question_viewed"],
+    "signup": ["session_start", "quiz_started", "quiz_started", "quiz_started"],
+    "click": [
+        "slider_adjusted",
+        "slider_adjusted",
+        "option_selected",
+        "option_deselected",
+        "cta_clicked",
+        "slider_adjusted",
+        "slider_adjusted",
+        "option_selected",
+        "option_deselected",
+        "link_clicked",
+    ],
+    "purchase": [
+        "quiz_completed",
+        "quiz_completed",
+        "quiz_step_completed",
+        "result_viewed",
+        "result_shared",
+        "result_saved",
+    ],
+    "error": [
+        "quiz_abandoned",
+        "session_end",
+        "unknown_type",
+        "quiz_step_completed",
+        "quiz_step_completed",
+    ],
+}
+
+
+def _array(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def _pick(values: list[str], index: str) -> str:
-    branches = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
-    return f"CASE {index} {branches} END"
-
-
-def _property_rules() -> dict[str, str]:
-    return {
-        "question_id": "CASE event_type WHEN 'question_viewed' THEN 1 + id % 4"
-        " WHEN 'slider_adjusted' THEN IF(id % 2 = 0, 1, 4)"
-        " WHEN 'option_selected' THEN IF(id % 2 = 0, 2, 3)"
-        " WHEN 'option_deselected' THEN IF(id % 2 = 0, 2, 3) END",
-        "step_number": "CASE WHEN event_type IN"
-        " ('question_viewed', 'quiz_step_completed', 'quiz_abandoned') THEN 1 + id % 4 END",
-        "total_steps": "CASE WHEN event_type IN"
-        " ('quiz_started', 'question_viewed', 'quiz_step_completed') THEN 4 END",
-        "slider_value": "CASE WHEN event_type = 'slider_adjusted' THEN k END",
-        "previous_value": "CASE WHEN event_type = 'slider_adjusted' THEN (k * 7) % 101 END",
-        "option_id": "CASE WHEN event_type IN ('option_selected', 'option_deselected') THEN"
-        f" CASE WHEN id % 2 = 0 THEN {_pick(USE_CASES, '(id div 2) % 4')}"
-        f" ELSE {_pick(FEATURES, '(id div 2) % 6')} END END",
-        "recommendation_id": "CASE WHEN event_type IN"
-        " ('quiz_completed', 'result_viewed', 'result_shared', 'result_saved')"
-        f" THEN {_pick(TOOLS, 'id % 6')} END",
-        "match_score": "CASE WHEN event_type IN ('quiz_completed', 'result_viewed')"
-        " THEN 65 + k % 35 END",
-        "time_on_step_ms": "CASE WHEN event_type IN ('question_viewed', 'quiz_step_completed')"
-        " THEN 1000 + k * 100 END",
-        "total_time_ms": "CASE event_type WHEN 'quiz_completed' THEN 45000 + k * 750"
-        " WHEN 'session_end' THEN 10000 + k * 500 END",
-        "share_platform": "CASE WHEN event_type = 'result_shared'"
-        f" THEN {_pick(PLATFORMS, 'id % 4')} END",
-        "cta_id": "CASE WHEN event_type = 'cta_clicked' THEN 'learn_more' END",
-    }
-
-
-def _context_rules() -> dict[str, str]:
-    agents = " ".join(f"WHEN '{d}' THEN '{ua}'" for d, ua in DEVICE_AGENTS.items())
-    return {
-        "user_agent": f"CASE WHEN id % 50 = 7 THEN '{BOT_AGENT}' WHEN id % 5 = 0 THEN NULL"
-        f" ELSE CASE device {agents} END END",
-        "device_type": "device",
-        "screen_width": "CASE device WHEN 'desktop' THEN 1920 WHEN 'mobile' THEN 390 ELSE 820 END",
-        "screen_height": "CASE device WHEN 'desktop' THEN 1080 WHEN 'mobile' THEN 844 ELSE 1180 END",
-        "timezone": _pick(ZONES, "id % 7"),
-        "locale": _pick(LOCALES, "id % 5"),
-    }
-
-
-def _struct(struct_type, rules: Mapping[str, str]):
+    """Look a constant up by position; a literal array keeps the generated code short."""
+    return f"element_at({_array(values)}, CAST({index} AS INT) + 1)"
+
+
+def _type_rule() -> str:
+    branches = " ".join(
+        f"WHEN '{base}' THEN {_pick(types, f'k % {len(types)}')}" for base, types in BASE_TYPES.items()
+    )
+    return f"CASE base {branches} ELSE 'unknown_type' END"
+
+
+_PROPERTY_RULES = {
+    "question_id": "CASE event_type WHEN 'question_viewed' THEN 1 + id % 4"
+    " WHEN 'slider_adjusted' THEN IF(id % 2 = 0, 1, 4)"
+    " WHEN 'option_selected' THEN IF(id % 2 = 0, 2, 3)"
+    " WHEN 'option_deselected' THEN IF(id % 2 = 0, 2, 3) END",
+    "step_number": "CASE WHEN event_type IN"
+    " ('question_viewed', 'quiz_step_completed', 'quiz_abandoned') THEN 1 + id % 4 END",
+    "total_steps": "CASE WHEN event_type IN"
+    " ('quiz_started', 'question_viewed', 'quiz_step_completed') THEN 4 END",
+    "slider_value": "CASE WHEN event_type = 'slider_adjusted' THEN k END",
+    "previous_value": "CASE WHEN event_type = 'slider_adjusted' THEN (k * 7) % 101 END",
+    "option_id": "CASE WHEN event_type IN ('option_selected', 'option_deselected') THEN"
+    f" IF(id % 2 = 0, {_pick(USE_CASES, '(id div 2) % 4')}, {_pick(FEATURES, '(id div 2) % 6')}) END",
+    "recommendation_id": "CASE WHEN event_type IN"
+    " ('quiz_completed', 'result_viewed', 'result_shared', 'result_saved')"
+    f" THEN {_pick(TOOLS, 'id % 6')} END",
+    "match_score": "CASE WHEN event_type IN ('quiz_completed', 'result_viewed') THEN 65 + k % 35 END",
+    "time_on_step_ms": "CASE WHEN event_type IN ('question_viewed', 'quiz_step_completed')"
+    " THEN 1000 + k * 100 END",
+    "total_time_ms": "CASE event_type WHEN 'quiz_completed' THEN 45000 + k * 750"
+    " WHEN 'session_end' THEN 10000 + k * 500 END",
+    "share_platform": f"CASE WHEN event_type = 'result_shared' THEN {_pick(PLATFORMS, 'id % 4')} END",
+    "cta_id": "CASE WHEN event_type = 'cta_clicked' THEN 'learn_more' END",
+}
+
+# ``device_no`` numbers the device classes in the order of DEVICE_AGENTS.
+_CONTEXT_RULES = {
+    "user_agent": f"CASE WHEN id % 50 = 7 THEN '{BOT_AGENT}' WHEN id % 5 <> 0"
+    f" THEN {_pick(list(DEVICE_AGENTS.values()), 'device_no')} END",
+    "device_type": _pick(list(DEVICE_AGENTS), "device_no"),
+    "screen_width": "element_at(array(1920, 390, 820), device_no + 1)",
+    "screen_height": "element_at(array(1080, 844, 1180), device_no + 1)",
+    "timezone": _pick(ZONES, "id % 7"),
+    "locale": _pick(LOCALES, "id % 5"),
+}
+
+
+def _flat_fields(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> list[Column]:
+    return [
+        F.expr(rules[f.name]).cast(f.dataType).alias(prefix + f.name)
+        for f in struct_type.fields
+        if f.name in rules
+    ]
+
+
+def _struct(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> Column:
     return F.struct(
         *[
-            F.expr(rules.get(f.name, "NULL")).cast(f.dataType).alias(f.name)
+            (F.col(prefix + f.name) if f.name in rules else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in struct_type.fields
         ]
     )
@@ -124,7 +149,9 @@ def _iso(column: str):
 def raw_events_from_table(events: DataFrame) -> DataFrame:
     """Canonical raw rows (``schema.RAW`` plus the integer ``id``), redeliveries included.
 
-    Everything is a per-row expression; nothing shuffles.
+    Everything is a per-row expression; nothing shuffles.  Nested fields are computed as
+    plain columns first and only then put into structs, so that a query which reads a few
+    of them computes only those.
     """
     base = (
         events.select(
@@ -134,48 +161,44 @@ def raw_events_from_table(events: DataFrame) -> DataFrame:
             F.col("event_type").alias("base"),
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
-        .withColumn("event_date", F.to_date("event_timestamp"))
-        .withColumn("event_hour", F.hour("event_timestamp"))
-        .withColumn("event_type", F.expr(_TYPE_RULE))
-        .withColumn(
-            "device",
-            F.expr(
-                "CASE WHEN (id + u) % 20 < 11 THEN 'desktop'"
-                " WHEN (id + u) % 20 < 18 THEN 'mobile' ELSE 'tablet' END"
+        .select(
+            "id",
+            "u",
+            "k",
+            "event_timestamp",
+            F.to_date("event_timestamp").alias("event_date"),
+            F.hour("event_timestamp").alias("event_hour"),
+            F.expr(_type_rule()).alias("event_type"),
+            F.expr("CASE WHEN (id + u) % 20 < 11 THEN 0 WHEN (id + u) % 20 < 18 THEN 1 ELSE 2 END").alias(
+                "device_no"
             ),
+            F.expr("timestamp_micros(unix_micros(event_timestamp) + k * 10000)").alias("arrived"),
+            F.explode(F.expr("IF(id % 20 = 0, array(0, 60), array(0))")).alias("delay"),
         )
-        .withColumn(
-            "mapped_user",
-            F.expr(
-                "CASE WHEN u % 3 = 0 THEN concat('u', u)"
-                " ELSE concat('u', u, '_', day(event_date)) END"
+        .select(
+            "*",
+            F.expr("concat_ws('', 'u', u, IF(u % 3 = 0, '', concat_ws('', '_', day(event_date))))").alias(
+                "mapped_user"
             ),
-        )
-        .withColumn("arrived", F.expr("event_timestamp + make_dt_interval(0, 0, 0, k * 0.010)"))
-        .withColumn(
-            "first_processed",
-            F.expr("event_timestamp + make_dt_interval(0, 0, 0, 1 + k % 9)"),
-        )
-        .withColumn(
-            "delay", F.explode(F.expr("IF(id % 20 = 0, array(0, 60), array(0))"))
+            *_flat_fields("p_", schema.PROPERTIES, _PROPERTY_RULES),
+            *_flat_fields("c_", schema.CONTEXT, _CONTEXT_RULES),
         )
     )
     return base.select(
         F.col("id").cast("string").alias("event_id"),
         F.expr("IF(id % 97 = 0, NULL, mapped_user)").alias("user_id"),
         F.expr(
-            "concat(mapped_user, '-', event_date,"
-            " IF(u % 2 = 0 AND event_hour >= 12, 'b', 'a'))"
+            "concat_ws('', mapped_user, '-', event_date, IF(u % 2 = 0 AND event_hour >= 12, 'b', 'a'))"
         ).alias("session_id"),
         "event_type",
-        _struct(schema.PROPERTIES, _property_rules()).alias("event_properties"),
+        _struct("p_", schema.PROPERTIES, _PROPERTY_RULES).alias("event_properties"),
         F.expr(f"IF(id % 4 = 0, 'pricing_page', '{schema.DEFAULT_FEATURE}')").alias("feature_name"),
-        _struct(schema.CONTEXT, _context_rules()).alias("context"),
+        _struct("c_", schema.CONTEXT, _CONTEXT_RULES).alias("context"),
         _iso("event_timestamp").alias("timestamp"),
         _iso("arrived").alias("received_at"),
         F.col("arrived").alias("kafka_timestamp"),
         "event_timestamp",
-        F.expr("first_processed + make_dt_interval(0, 0, 0, delay)").alias("processed_at"),
+        F.expr("timestamp_micros(unix_micros(event_timestamp) + (1 + k % 9 + delay) * 1000000)").alias("processed_at"),
         "event_date",
         "event_hour",
         "id",
