@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlift.functions import round_n
 from eventlift.operators import (
     activity,
     engagement,
@@ -49,17 +48,17 @@ AGENTS = [
 def flat(df: DataFrame) -> DataFrame:
     columns = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        text = f"`{field.name}`"
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            text = f"date_format({text}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
+            text = f"CAST({text} AS STRING)"
         elif isinstance(field.dataType, T.DoubleType):
-            column = round_n(column, 6)
+            text = f"round({text} * 1000000D, 0) / 1000000D"
         elif isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column, ",")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            text = f"array_join({text}, ',')"
+        columns.append(f"{text} AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,73 +13,63 @@ row per task, not its events.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlift import schema
-from eventlift.operators.facts import event_category
 
 ROLLUP_KEYS = ["event_date", "user_id", "session_id", "device_type", "user_timezone", "other_type"]
 
 
-def _is(*types: str) -> Column:
-    return F.when(F.col("event_type").isin(list(types)), F.lit(1)).otherwise(F.lit(0))
+def _quoted(types: Sequence[str]) -> str:
+    return ", ".join(f"'{t}'" for t in types)
 
 
-def _in_category(*names: str) -> Column:
-    return F.when(event_category().isin(list(names)), F.lit(1)).otherwise(F.lit(0))
+def _one_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
 
-def _type_bit() -> Column:
+def _is(*types: str) -> str:
+    return _one_if(f"event_type IN ({_quoted(types)})")
+
+
+def _in_category(name: str) -> str:
+    return _is(*schema.CATEGORY_TYPES[name])
+
+
+def _type_bit() -> str:
     """One bit per declared type; no bit for an undeclared one (see ``other_type``)."""
-    branches = [
-        (F.col("event_type") == name, F.lit(1 << i)) for i, name in enumerate(schema.EVENT_TYPES)
-    ]
-    first, rest = branches[0], branches[1:]
-    chain = reduce(lambda acc, b: acc.when(*b), rest, F.when(*first))
-    return chain.otherwise(F.lit(0))
+    branches = [f"WHEN '{name}' THEN {1 << i}" for i, name in enumerate(schema.EVENT_TYPES)]
+    return f"CASE event_type {' '.join(branches)} ELSE 0 END"
 
 
-#: name -> (merge, expression on fact rows)
+#: name -> (merge function, SQL expression on fact rows)
 _MEASURES = {
-    "first_event_at": (F.min, lambda: F.col("event_timestamp")),
-    "last_event_at": (F.max, lambda: F.col("event_timestamp")),
-    "events": (F.sum, lambda: F.lit(1)),
-    "interaction_events": (F.sum, lambda: _in_category("interaction")),
-    "flow_events": (F.sum, lambda: _in_category("flow")),
-    "quizzes_started": (F.sum, lambda: _is("quiz_started")),
-    "quizzes_completed": (F.sum, lambda: _is("quiz_completed")),
-    "results_viewed": (F.sum, lambda: _is("result_viewed")),
-    "results_shared": (F.sum, lambda: _is("result_shared")),
-    "ctas_clicked": (F.sum, lambda: _is("cta_clicked")),
-    "slider_adjustments": (F.sum, lambda: _is("slider_adjusted")),
-    "option_selections": (F.sum, lambda: _is("option_selected")),
-    "entry_events": (F.sum, lambda: _is("feature_view", "page_view", "quiz_started")),
-    "first_questions": (
-        F.sum,
-        lambda: F.when(F.col("step_number") == 1, _is("question_viewed")).otherwise(F.lit(0)),
-    ),
-    "mid_quiz_events": (
-        F.sum,
-        lambda: F.when(F.col("flow_progress_pct") >= 50, F.lit(1)).otherwise(F.lit(0)),
-    ),
-    "type_bits": (F.bit_or, _type_bit),
-    "max_step": (F.max, lambda: F.col("step_number")),
-    "max_total_steps": (F.max, lambda: F.col("total_steps")),
-    "max_total_time_ms": (F.max, lambda: F.col("total_time_ms")),
-    "total_time_ms_sum": (F.sum, lambda: F.col("total_time_ms").cast("long")),
-    "total_time_ms_count": (
-        F.sum,
-        lambda: F.when(F.col("total_time_ms").isNotNull(), F.lit(1)).otherwise(F.lit(0)),
-    ),
-    "max_match_score": (F.max, lambda: F.col("match_score")),
-    "match_score_sum": (F.sum, lambda: F.col("match_score")),
-    "match_score_count": (
-        F.sum,
-        lambda: F.when(F.col("match_score").isNotNull(), F.lit(1)).otherwise(F.lit(0)),
-    ),
+    "first_event_at": ("min", "event_timestamp"),
+    "last_event_at": ("max", "event_timestamp"),
+    "events": ("sum", "1"),
+    "interaction_events": ("sum", _in_category("interaction")),
+    "flow_events": ("sum", _in_category("flow")),
+    "quizzes_started": ("sum", _is("quiz_started")),
+    "quizzes_completed": ("sum", _is("quiz_completed")),
+    "results_viewed": ("sum", _is("result_viewed")),
+    "results_shared": ("sum", _is("result_shared")),
+    "ctas_clicked": ("sum", _is("cta_clicked")),
+    "slider_adjustments": ("sum", _is("slider_adjusted")),
+    "option_selections": ("sum", _is("option_selected")),
+    "entry_events": ("sum", _is("feature_view", "page_view", "quiz_started")),
+    "first_questions": ("sum", _one_if("event_type = 'question_viewed' AND step_number = 1")),
+    "mid_quiz_events": ("sum", _one_if("flow_progress_pct >= 50")),
+    "type_bits": ("bit_or", _type_bit()),
+    "max_step": ("max", "step_number"),
+    "max_total_steps": ("max", "total_steps"),
+    "max_total_time_ms": ("max", "total_time_ms"),
+    "total_time_ms_sum": ("sum", "CAST(total_time_ms AS BIGINT)"),
+    "total_time_ms_count": ("sum", _one_if("total_time_ms IS NOT NULL")),
+    "max_match_score": ("max", "match_score"),
+    "match_score_sum": ("sum", "match_score"),
+    "match_score_count": ("sum", _one_if("match_score IS NOT NULL")),
 }
 
 
@@ -87,21 +77,26 @@ def is_rollup(df: DataFrame) -> bool:
     return "type_bits" in df.columns
 
 
-def measure(df: DataFrame, name: str) -> Column:
+def measure_sql(df: DataFrame, name: str) -> str:
     """Aggregate expression of a measure over fact rows or rollup rows."""
     merge, expression = _MEASURES[name]
-    return merge(F.col(name) if is_rollup(df) else expression())
+    return f"{merge}({name if is_rollup(df) else expression})"
+
+
+def measure(df: DataFrame, name: str) -> Column:
+    return F.expr(measure_sql(df, name))
 
 
 def measures(df: DataFrame, *names: str) -> list[Column]:
-    return [measure(df, name).alias(name) for name in names]
+    return [F.expr(f"{measure_sql(df, name)} AS {name}") for name in names]
 
 
 def other_type(df: DataFrame) -> Column:
     """The event type where it is not a declared one, else NULL."""
     if is_rollup(df):
         return F.col("other_type")
-    return F.when(~F.col("event_type").isin(schema.EVENT_TYPES), F.col("event_type"))
+    declared = _quoted(schema.EVENT_TYPES)
+    return F.expr(f"CASE WHEN event_type NOT IN ({declared}) THEN event_type END")
 
 
 def activity_rollup(fact: DataFrame) -> DataFrame:
@@ -118,8 +113,3 @@ def activity_rollup(fact: DataFrame) -> DataFrame:
         .groupBy(*ROLLUP_KEYS)
         .agg(*measures(fact, *_MEASURES))
     )
-
-
-def rolled(df: DataFrame, keys: Sequence[str], *names: str) -> DataFrame:
-    """Measures ``names`` per ``keys``."""
-    return df.groupBy(*keys).agg(*measures(df, *names))

@@ -36,27 +36,23 @@ def stg_events(raw: DataFrame, include_bot_traffic: bool = False) -> DataFrame:
     kept = raw.where(reduce(and_, [F.col(c).isNotNull() for c in _REQUIRED]))
     if not include_bot_traffic:
         kept = kept.where(is_human(F.col("context.user_agent")))
-    properties = [
-        F.col(f"event_properties.{name}") for name in schema.PROPERTIES.names if name not in _NOT_FLATTENED
-    ]
-    context = [F.col(f"context.{name}").alias(alias) for name, alias in _CONTEXT_KEPT.items()]
-    return kept.select(
+    return kept.selectExpr(
         *_REQUIRED,
         "feature_name",
-        F.col("event_timestamp").cast("timestamp").alias("event_timestamp"),
-        F.col("processed_at").cast("timestamp").alias("processed_at"),
+        "CAST(event_timestamp AS TIMESTAMP) AS event_timestamp",
+        "CAST(processed_at AS TIMESTAMP) AS processed_at",
         "event_date",
-        F.col("event_hour").cast("int").alias("event_hour"),
-        *properties,
-        *context,
+        "CAST(event_hour AS INT) AS event_hour",
+        *[f"event_properties.{n} AS {n}" for n in schema.PROPERTIES.names if n not in _NOT_FLATTENED],
+        *[f"context.{name} AS {alias}" for name, alias in _CONTEXT_KEPT.items()],
     )
 
 
 def event_category(event_type: str = "event_type") -> Column:
-    category = F.lit(schema.OTHER_CATEGORY)
-    for name, types in reversed(schema.CATEGORY_TYPES.items()):
-        category = F.when(F.col(event_type).isin(types), F.lit(name)).otherwise(category)
-    return category
+    branches = " ".join(
+        f"WHEN '{t}' THEN '{category}'" for category, types in schema.CATEGORY_TYPES.items() for t in types
+    )
+    return F.expr(f"CASE {event_type} {branches} ELSE '{schema.OTHER_CATEGORY}' END")
 
 
 def flow_progress_pct() -> Column:

@@ -35,11 +35,11 @@ def as_of_column(as_of: dt.datetime | dt.date | str | Column | None) -> Column:
 
 def _most_frequent(kind: str) -> Column:
     """Value with the highest count; the smallest value on a tie; NULL without any."""
-    ranked = F.when(
-        (F.col("kind") == kind) & F.col("value").isNotNull(),
-        F.struct((-F.col("events")).alias("rank"), F.col("value")),
+    ranked = (
+        f"CASE WHEN kind = '{kind}' AND value IS NOT NULL"
+        " THEN named_struct('rank', -events, 'value', value) END"
     )
-    return F.min(ranked)["value"]
+    return F.expr(f"min({ranked}).value")
 
 
 def user_metrics(source: DataFrame) -> DataFrame:
@@ -51,36 +51,35 @@ def user_metrics(source: DataFrame) -> DataFrame:
     heavy user over all its sessions, and only those results meet per user.
     """
     activity = activity_rollup(source)
-    kinds = F.array(
-        F.struct(F.lit("session").alias("kind"), F.col("session_id").alias("value")),
-        F.struct(F.lit("day").alias("kind"), F.col("event_date").cast("string").alias("value")),
-        F.struct(F.lit("device").alias("kind"), F.col("device_type").alias("value")),
-        F.struct(F.lit("zone").alias("kind"), F.col("user_timezone").alias("value")),
+    summed = [c for c in _SUMMED if c != "events"]
+    carried = ["first_event_at", "last_event_at", *summed]
+    kinds = F.expr(
+        "explode(array("
+        "named_struct('kind', 'session', 'value', session_id),"
+        "named_struct('kind', 'day', 'value', CAST(event_date AS STRING)),"
+        "named_struct('kind', 'device', 'value', device_type),"
+        "named_struct('kind', 'zone', 'value', user_timezone))) AS k"
     )
-    carried = [c for c in ["first_event_at", "last_event_at", *_SUMMED] if c != "events"]
-    long_rows = (
-        activity.select("user_id", "events", *carried, F.explode(kinds).alias("k"))
-        .select("user_id", "k.kind", "k.value", "events", *carried)
-        .withColumns({c: F.when(F.col("kind") == "session", F.col(c)) for c in carried})
+    long_rows = activity.select("user_id", "events", *carried, kinds).selectExpr(
+        "user_id",
+        "k.kind",
+        "k.value",
+        "events",
+        *[f"CASE WHEN k.kind = 'session' THEN {c} END AS {c}" for c in carried],
     )
     combined = long_rows.groupBy("user_id", "kind", "value").agg(
-        F.sum("events").alias("events"),
         F.min("first_event_at").alias("first_event_at"),
         F.max("last_event_at").alias("last_event_at"),
-        *[F.sum(c).alias(c) for c in _SUMMED if c != "events"],
+        *[F.expr(f"sum({c}) AS {c}") for c in _SUMMED],
     )
-
-    def distinct(kind: str) -> Column:
-        return F.count(F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.lit(1)))
-
-    in_session = F.when(F.col("kind") == "session", F.col("events"))
+    distinct = lambda kind: F.expr(f"count(CASE WHEN kind = '{kind}' THEN value END)")
     return combined.groupBy("user_id").agg(
         F.min("first_event_at").alias("first_seen_at"),
         F.max("last_event_at").alias("last_seen_at"),
         distinct("session").alias("total_sessions"),
         distinct("day").alias("active_days"),
-        F.sum(in_session).alias("total_events"),
-        *[F.sum(c).alias(c) for c in _SUMMED if c != "events"],
+        F.expr("sum(CASE WHEN kind = 'session' THEN events END)").alias("total_events"),
+        *[F.expr(f"sum({c}) AS {c}") for c in summed],
         _most_frequent("device").alias("primary_device"),
         _most_frequent("zone").alias("primary_timezone"),
     )

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from eventlift import schema
@@ -125,25 +124,24 @@ _CONTEXT_RULES = {
 }
 
 
-def _flat_fields(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> list[Column]:
+def _flat_fields(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> list[str]:
     return [
-        F.expr(rules[f.name]).cast(f.dataType).alias(prefix + f.name)
+        f"CAST({rules[f.name]} AS {f.dataType.simpleString()}) AS {prefix}{f.name}"
         for f in struct_type.fields
         if f.name in rules
     ]
 
 
-def _struct(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> Column:
-    return F.struct(
-        *[
-            (F.col(prefix + f.name) if f.name in rules else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in struct_type.fields
-        ]
-    )
+def _struct(prefix: str, struct_type: T.StructType, rules: Mapping[str, str]) -> str:
+    values = [
+        f"'{f.name}', {prefix + f.name if f.name in rules else f'CAST(NULL AS {f.dataType.simpleString()})'}"
+        for f in struct_type.fields
+    ]
+    return f"named_struct({', '.join(values)})"
 
 
-def _iso(column: str):
-    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+def _iso(column: str) -> str:
+    return f"""date_format({column}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
 
 
 def raw_events_from_table(events: DataFrame) -> DataFrame:
@@ -154,51 +152,46 @@ def raw_events_from_table(events: DataFrame) -> DataFrame:
     of them computes only those.
     """
     base = (
-        events.select(
-            F.col("event_id").alias("id"),
-            F.col("user_id").alias("u"),
-            F.col("ts").cast("timestamp").alias("event_timestamp"),
-            F.col("event_type").alias("base"),
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+        events.selectExpr(
+            "event_id AS id",
+            "user_id AS u",
+            "CAST(ts AS TIMESTAMP) AS event_timestamp",
+            "event_type AS base",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
         )
-        .select(
+        .selectExpr(
             "id",
             "u",
             "k",
             "event_timestamp",
-            F.to_date("event_timestamp").alias("event_date"),
-            F.hour("event_timestamp").alias("event_hour"),
-            F.expr(_type_rule()).alias("event_type"),
-            F.expr("CASE WHEN (id + u) % 20 < 11 THEN 0 WHEN (id + u) % 20 < 18 THEN 1 ELSE 2 END").alias(
-                "device_no"
-            ),
-            F.expr("timestamp_micros(unix_micros(event_timestamp) + k * 10000)").alias("arrived"),
-            F.explode(F.expr("IF(id % 20 = 0, array(0, 60), array(0))")).alias("delay"),
+            "to_date(event_timestamp) AS event_date",
+            "hour(event_timestamp) AS event_hour",
+            f"{_type_rule()} AS event_type",
+            "CASE WHEN (id + u) % 20 < 11 THEN 0 WHEN (id + u) % 20 < 18 THEN 1 ELSE 2 END AS device_no",
+            "timestamp_micros(unix_micros(event_timestamp) + k * 10000) AS arrived",
+            "explode(IF(id % 20 = 0, array(0, 60), array(0))) AS delay",
         )
-        .select(
+        .selectExpr(
             "*",
-            F.expr("concat_ws('', 'u', u, IF(u % 3 = 0, '', concat_ws('', '_', day(event_date))))").alias(
-                "mapped_user"
-            ),
+            "concat_ws('', 'u', u, IF(u % 3 = 0, '', concat_ws('', '_', day(event_date)))) AS mapped_user",
             *_flat_fields("p_", schema.PROPERTIES, _PROPERTY_RULES),
             *_flat_fields("c_", schema.CONTEXT, _CONTEXT_RULES),
         )
     )
-    return base.select(
-        F.col("id").cast("string").alias("event_id"),
-        F.expr("IF(id % 97 = 0, NULL, mapped_user)").alias("user_id"),
-        F.expr(
-            "concat_ws('', mapped_user, '-', event_date, IF(u % 2 = 0 AND event_hour >= 12, 'b', 'a'))"
-        ).alias("session_id"),
+    return base.selectExpr(
+        "CAST(id AS STRING) AS event_id",
+        "IF(id % 97 = 0, NULL, mapped_user) AS user_id",
+        "concat_ws('', mapped_user, '-', event_date,"
+        " IF(u % 2 = 0 AND event_hour >= 12, 'b', 'a')) AS session_id",
         "event_type",
-        _struct("p_", schema.PROPERTIES, _PROPERTY_RULES).alias("event_properties"),
-        F.expr(f"IF(id % 4 = 0, 'pricing_page', '{schema.DEFAULT_FEATURE}')").alias("feature_name"),
-        _struct("c_", schema.CONTEXT, _CONTEXT_RULES).alias("context"),
-        _iso("event_timestamp").alias("timestamp"),
-        _iso("arrived").alias("received_at"),
-        F.col("arrived").alias("kafka_timestamp"),
+        f"{_struct('p_', schema.PROPERTIES, _PROPERTY_RULES)} AS event_properties",
+        f"IF(id % 4 = 0, 'pricing_page', '{schema.DEFAULT_FEATURE}') AS feature_name",
+        f"{_struct('c_', schema.CONTEXT, _CONTEXT_RULES)} AS context",
+        f"{_iso('event_timestamp')} AS timestamp",
+        f"{_iso('arrived')} AS received_at",
+        "arrived AS kafka_timestamp",
         "event_timestamp",
-        F.expr("timestamp_micros(unix_micros(event_timestamp) + (1 + k % 9 + delay) * 1000000)").alias("processed_at"),
+        "timestamp_micros(unix_micros(event_timestamp) + (1 + k % 9 + delay) * 1000000) AS processed_at",
         "event_date",
         "event_hour",
         "id",
