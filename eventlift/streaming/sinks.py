@@ -92,7 +92,9 @@ def write_messages(
     """Envelopes to files: ranges of (key, time), in order within a key.
 
     Ranges, not hashes, of the key: a user with very many messages spans several
-    consecutive files and the rest stay together.
+    consecutive files and the rest stay together.  One call is one batch of arrivals; a
+    stream that reads the folder should take such a batch in one trigger, because its
+    files are ordered by user and each covers the whole time span.
     """
     (
         messages.repartitionByRange("key", order_by)
