@@ -459,7 +459,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT event_id, session_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time_text,"
         f" {_ts('received', 'kafka_timestamp')} FROM raw",
     )
-    ok = lambda expr, name: f"CASE WHEN id % 211 <> 5 THEN {expr} END AS {name}"
+    ok = lambda expr, name: f"CASE WHEN epoch_us(received) % 211 <> 5 THEN {expr} END AS {name}"
     q["parse_events"] = _with(
         "",
         "SELECT "
@@ -478,8 +478,8 @@ def oracle_sql() -> dict[str, str]:
             )
         )
         + f", {ok('round(slider_value, 6)', 'slider_value')},"
-        + " CASE WHEN id % 211 <> 5 THEN strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') END AS event_timestamp,"
-        + " CASE WHEN id % 211 <> 5 THEN CAST(event_date AS VARCHAR) END AS event_date,"
+        + " CASE WHEN epoch_us(received) % 211 <> 5 THEN strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') END AS event_timestamp,"
+        + " CASE WHEN epoch_us(received) % 211 <> 5 THEN CAST(event_date AS VARCHAR) END AS event_date,"
         + f" {_ts('received', 'kafka_timestamp')}, '{AS_OF}.000000' AS processed_at FROM raw",
     )
     q["enrich_user_agent"] = _with(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,42 +102,37 @@ def stamp_received(events: DataFrame, received_at: Column | None = None) -> Data
     return events.withColumn("received_at", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
-def _range_failure(field: str, low, high) -> Column:
-    bounds = [F.col(field) < low] if low is not None else []
+def _out_of_range(field: str, low, high) -> Column:
+    sides = [F.col(field) < low] if low is not None else []
     if high is not None:
-        bounds.append(F.col(field) > high)
-    failed = bounds[0]
-    for other in bounds[1:]:
-        failed = failed | other
-    return F.when(failed, F.lit(f"{field.split('.')[-1]}:range"))
+        sides.append(F.col(field) > high)
+    return reduce(or_, sides)
 
 
-def reject_reasons_column(
+def validation_rules(
     *,
     uuid_ids: bool = True,
     ranges: Sequence[tuple] = schema.RANGE_RULES,
     require_time: bool = True,
-) -> Column:
-    """Array of the rules an event breaks, empty for a good one."""
-    checks = [
-        F.when(F.col("user_id").isNull(), F.lit("user_id:missing")).when(
-            F.length(F.trim("user_id")) == 0, F.lit("user_id:blank")
-        ),
-        F.when(F.col("session_id").isNull(), F.lit("session_id:missing")),
-        F.when(F.col("event_type").isNull(), F.lit("event_type:missing")).when(
-            ~F.col("event_type").isin(schema.EVENT_TYPES), F.lit("event_type:unknown")
-        ),
-        F.when(~F.col("context.device_type").isin(schema.DEVICE_TYPES), F.lit("device_type:unknown")),
+) -> list[tuple[str, Column]]:
+    """The rules as (reason, condition that breaks it)."""
+    rules = [
+        ("user_id:missing", F.col("user_id").isNull()),
+        ("user_id:blank", F.length(F.trim("user_id")) == 0),
+        ("session_id:missing", F.col("session_id").isNull()),
+        ("event_type:missing", F.col("event_type").isNull()),
+        ("event_type:unknown", ~F.col("event_type").isin(schema.EVENT_TYPES)),
+        ("device_type:unknown", ~F.col("context.device_type").isin(schema.DEVICE_TYPES)),
     ]
     if uuid_ids:
-        for name in ("event_id", "session_id"):
-            checks.append(F.when(~F.col(name).rlike(schema.UUID_PATTERN), F.lit(f"{name}:format")))
+        rules += [
+            (f"{name}:format", ~F.col(name).rlike(schema.UUID_PATTERN))
+            for name in ("event_id", "session_id")
+        ]
     if require_time:
-        checks.append(
-            F.when(F.try_to_timestamp("timestamp").isNull(), F.lit("timestamp:invalid"))
-        )
-    checks += [_range_failure(*rule) for rule in ranges]
-    return F.array_compact(F.array(*checks))
+        rules.append(("timestamp:invalid", F.try_to_timestamp("timestamp").isNull()))
+    rules += [(f"{rule[0].split('.')[-1]}:range", _out_of_range(*rule)) for rule in ranges]
+    return rules
 
 
 def validate_events(
@@ -145,34 +142,60 @@ def validate_events(
     ranges: Sequence[tuple] = schema.RANGE_RULES,
     require_time: bool = True,
 ) -> DataFrame:
-    """Trim user ids and add ``reject_reasons``; no row is dropped.
+    """Trim user ids; add ``reject_code`` and ``reject_reasons``.  No row is dropped.
 
-    Apply ``apply_defaults`` first when clients may omit id or timestamp.
+    The code has one bit per broken rule and is 0 for a good event, the reasons are the
+    same as texts.  Filter on the code: it is plain arithmetic, while the texts are put
+    together only for events that break a rule.  Apply ``apply_defaults`` first when
+    clients may omit id or timestamp.
     """
-    return events.withColumn("user_id", F.trim("user_id")).withColumn(
-        "reject_reasons",
-        reject_reasons_column(uuid_ids=uuid_ids, ranges=ranges, require_time=require_time),
+    rules = validation_rules(uuid_ids=uuid_ids, ranges=ranges, require_time=require_time)
+    broken = reduce(
+        add, [F.when(failed, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, failed) in enumerate(rules)]
+    )
+    texts = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col("reject_code").bitwiseAND(F.lit(1 << i)) != 0, F.lit(reason))
+                for i, (reason, _) in enumerate(rules)
+            ]
+        )
+    )
+    none = F.array().cast("array<string>")
+    return (
+        events.withColumn("user_id", F.trim("user_id"))
+        .withColumn("reject_code", broken)
+        .withColumn("reject_reasons", F.when(F.col("reject_code") == 0, none).otherwise(texts))
     )
 
 
 def accepted_events(validated: DataFrame) -> DataFrame:
-    return validated.where(F.size("reject_reasons") == 0).drop("reject_reasons")
+    return validated.where(F.col("reject_code") == 0).drop("reject_code", "reject_reasons")
 
 
 def rejected_events(validated: DataFrame) -> DataFrame:
     """The dead-letter rows, reasons kept."""
-    return validated.where(F.size("reject_reasons") > 0)
+    return validated.where(F.col("reject_code") != 0)
 
 
 def reject_reasons(validated: DataFrame) -> DataFrame:
-    """Rejected events per reason; an event counts once under each of its reasons."""
+    """Rejected events per reason; an event counts once under each of its reasons.
+
+    Events are counted per code first, so only a handful of rows is unfolded.
+    """
     return (
-        validated.select(F.explode("reject_reasons").alias("reason"))
+        rejected_events(validated)
+        .groupBy("reject_code")
+        .agg(F.any_value("reject_reasons").alias("reasons"), F.count(F.lit(1)).alias("n"))
+        .select(F.explode("reasons").alias("reason"), "n")
         .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rejected_events"))
+        .agg(F.sum("n").alias("rejected_events"))
     )
 
 
+_SHARES = 16
+
+
 def batch_receipt(
     validated: DataFrame,
     batch: str = "batch_id",
@@ -183,45 +206,52 @@ def batch_receipt(
     A batch above ``max_events`` is refused whole.  Sizes are therefore counted
     first, with map-side partial sums; ids and errors are gathered only for batches
     within the limit, so a list never holds more than ``max_events`` entries however
-    large a rogue batch is.
+    large a rogue batch is.  The rows of a rogue batch are dropped in a join on batch and
+    a share of the event id, which spreads them over ``_SHARES`` partitions; as the
+    grouping after it shuffles anyway, adaptive execution may split those further.
+    Rows without a batch id belong to no request and get no receipt.
     """
-    accepted = F.size("reject_reasons") == 0
+    validated = validated.where(F.col(batch).isNotNull())
+    accepted = F.col("reject_code") == 0
     sizes = validated.groupBy(batch).agg(
         F.count(F.lit(1)).alias("total_events"), count_if(accepted).alias("__good")
     )
     within = F.col("total_events") <= max_events
-    lists = (
+    every_share = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("__share")
+    share = F.pmod(F.xxhash64("event_id"), F.lit(_SHARES)).cast("int")
+    error = F.concat_ws(
+        ": ", F.coalesce("event_id", F.lit("?")), F.array_join("reject_reasons", ", ")
+    )
+    small = (
         validated.select(
             batch,
+            F.coalesce(share, F.lit(0)).alias("__share"),
             F.when(accepted, F.col("event_id")).alias("__id"),
-            F.when(
-                ~accepted,
-                F.concat_ws(
-                    ": ",
-                    F.coalesce("event_id", F.lit("?")),
-                    F.array_join("reject_reasons", ", "),
-                ),
-            ).alias("__error"),
+            F.when(~accepted, error).alias("__error"),
         )
-        .join(sizes.where(within).select(batch), batch, "left_semi")
-        .groupBy(batch)
+        .join(sizes.where(within).select("*", every_share), [batch, "__share"])
+        .groupBy(batch, "total_events", "__good")
         .agg(
             F.array_sort(F.collect_list("__id")).alias("event_ids"),
             F.array_sort(F.collect_list("__error")).alias("errors"),
         )
     )
-    good = F.when(within, F.col("__good")).otherwise(F.lit(0))
-    no_text = F.array().cast("array<string>")
-    return sizes.join(lists, batch, "left").select(
+    large = sizes.where(~within).select(
+        batch,
+        "total_events",
+        F.lit(0).cast("long").alias("__good"),
+        F.array().cast("array<string>").alias("event_ids"),
+        F.array(F.lit(f"batch: more than {max_events} events")).alias("errors"),
+    )
+    good = F.col("__good")
+    return small.unionByName(large).select(
         batch,
         (good > 0).alias("success"),
         "total_events",
         good.alias("accepted_events"),
         (F.col("total_events") - good).alias("rejected_events"),
-        F.coalesce("event_ids", no_text).alias("event_ids"),
-        F.when(within, F.coalesce("errors", no_text))
-        .otherwise(F.array(F.lit(f"batch: more than {max_events} events")))
-        .alias("errors"),
+        "event_ids",
+        "errors",
     )
 
 
@@ -234,7 +264,7 @@ def explode_batches(requests: DataFrame) -> DataFrame:
 
 def ingest_totals(validated: DataFrame) -> DataFrame:
     """Total, accepted and rejected events of a run, as one row."""
-    good = F.size("reject_reasons") == 0
+    good = F.col("reject_code") == 0
     return validated.agg(
         F.count(F.lit(1)).alias("total_events"),
         F.coalesce(sum_if(good, F.lit(1)), F.lit(0)).alias("accepted_events"),

@@ -11,7 +11,7 @@ import argparse
 from eventlift.operators.ingest import parse_events
 from eventlift.plans.session import build_session, checkpoint_root
 from eventlift.sources.messages import DEFAULT_MAX_OFFSETS, DEFAULT_TOPIC, stream_messages
-from eventlift.streaming.job import await_all, start_all, start_dead_letters
+from eventlift.streaming.job import await_all, start_all, start_dead_letters, valid_only
 from eventlift.streaming.sinks import DEFAULT_TRIGGER
 
 
@@ -21,13 +21,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--servers", default="localhost:9092")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--path", help="message folder for --source files")
-    parser.add_argument("--max-per-trigger", type=int, default=None, help=f"offsets ({DEFAULT_MAX_OFFSETS}) or files per batch")
+    parser.add_argument(
+        "--max-per-trigger",
+        type=int,
+        help=f"offsets ({DEFAULT_MAX_OFFSETS} unless given) or files per micro-batch",
+    )
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoints")
-    parser.add_argument("--trigger", default=DEFAULT_TRIGGER, help="interval, or 'once' to drain and stop")
+    parser.add_argument(
+        "--trigger", default=DEFAULT_TRIGGER, help="interval, or 'once' to drain and stop"
+    )
     parser.add_argument("--dedup", action="store_true")
     parser.add_argument("--approx", action="store_true")
-    parser.add_argument("--dead-letters", action="store_true")
+    parser.add_argument("--valid-only", action="store_true", help="keep only events that pass validation")
+    parser.add_argument("--dead-letters", action="store_true", help="also write the events that do not")
     args = parser.parse_args(argv)
 
     spark = build_session("eventlift-stream")
@@ -43,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     events = parse_events(messages)
     queries = start_all(
-        events,
+        valid_only(events) if args.valid_only else events,
         args.output,
         checkpoints,
         trigger=trigger,

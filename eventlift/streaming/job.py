@@ -60,6 +60,7 @@ def start_dead_letters(
 
 
 def valid_only(events: DataFrame) -> DataFrame:
+    """The events an ingest service would have let through."""
     return accepted_events(validate_events(events))
 
 
