@@ -39,6 +39,8 @@ class Variables:
     max_session_duration_hours: float = 24
     retention_window_days: int = 7
     engagement_window_days: int = 30
+    #: shuffle the fact table into even files per day; for lakes of many small files
+    gather_facts: bool = False
 
 
 def stage(raw: DataFrame, variables: Variables = Variables()) -> DataFrame:
@@ -47,7 +49,13 @@ def stage(raw: DataFrame, variables: Variables = Variables()) -> DataFrame:
     return stg_events(source, variables.include_bot_traffic)
 
 
-def _write(df: DataFrame, path: str, by_day: bool, only_given_days: bool = False) -> None:
+def _write(
+    df: DataFrame, path: str, by_day: bool, only_given_days: bool = False, gather: bool = False
+) -> None:
+    """Overwrite a table.  ``gather`` brings the rows of a day together first, in tasks of
+    even size, where otherwise every task would write a file into every day."""
+    if gather:
+        df = df.hint("rebalance", "event_date")
     writer = df.write.mode("overwrite")
     if by_day:
         writer = writer.partitionBy("event_date")
@@ -78,11 +86,11 @@ def build_marts(
 
     staged = stage(raw, variables)
     staged.createOrReplaceTempView("stg_events")
-    _write(fact_events(staged), path("fact_events"), True, partial)
+    _write(fact_events(staged), path("fact_events"), True, partial, variables.gather_facts)
     fact = spark.read.parquet(path("fact_events"))
 
     source = fact.where(F.col("event_date").between(*days)) if partial else fact
-    _write(activity_rollup(source), path("activity"), True, partial)
+    _write(activity_rollup(source), path("activity"), True, partial, gather=True)
     activity = spark.read.parquet(path("activity"))
 
     _write(dim_users(activity, as_of), path("dim_users"), False)

@@ -66,80 +66,83 @@ MAX_BATCH_EVENTS = 1000
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 # --------------------------------------------------------------------------
-# Spark types
+# Spark types; field names and order are fixed by the wire contract.
 # --------------------------------------------------------------------------
 
-CONTEXT = T.StructType(
-    [
-        T.StructField("page_url", T.StringType()),
-        T.StructField("page_path", T.StringType()),
-        T.StructField("referrer", T.StringType()),
-        T.StructField("user_agent", T.StringType()),
-        T.StructField("device_type", T.StringType()),
-        T.StructField("screen_width", T.IntegerType()),
-        T.StructField("screen_height", T.IntegerType()),
-        T.StructField("viewport_width", T.IntegerType()),
-        T.StructField("viewport_height", T.IntegerType()),
-        T.StructField("timezone", T.StringType()),
-        T.StructField("locale", T.StringType()),
-    ]
+_TEXT, _INT, _REAL, _TIME = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
+
+
+def _struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+CONTEXT = _struct(
+    {
+        "page_url": _TEXT,
+        "page_path": _TEXT,
+        "referrer": _TEXT,
+        "user_agent": _TEXT,
+        "device_type": _TEXT,
+        "screen_width": _INT,
+        "screen_height": _INT,
+        "viewport_width": _INT,
+        "viewport_height": _INT,
+        "timezone": _TEXT,
+        "locale": _TEXT,
+    }
 )
 
 #: Real numbers are double, not 32-bit float: same formulas, no float rounding.
-PROPERTIES = T.StructType(
-    [
-        T.StructField("question_id", T.IntegerType()),
-        T.StructField("step_number", T.IntegerType()),
-        T.StructField("total_steps", T.IntegerType()),
-        T.StructField("slider_value", T.DoubleType()),
-        T.StructField("previous_value", T.DoubleType()),
-        T.StructField("option_id", T.StringType()),
-        T.StructField("option_label", T.StringType()),
-        T.StructField("selected_options", T.ArrayType(T.StringType())),
-        T.StructField("recommendation_id", T.StringType()),
-        T.StructField("recommendation_name", T.StringType()),
-        T.StructField("match_score", T.DoubleType()),
-        T.StructField("time_on_step_ms", T.IntegerType()),
-        T.StructField("total_time_ms", T.IntegerType()),
-        T.StructField("share_platform", T.StringType()),
-        T.StructField("cta_id", T.StringType()),
-        T.StructField("cta_label", T.StringType()),
-        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
-    ]
+PROPERTIES = _struct(
+    {
+        "question_id": _INT,
+        "step_number": _INT,
+        "total_steps": _INT,
+        "slider_value": _REAL,
+        "previous_value": _REAL,
+        "option_id": _TEXT,
+        "option_label": _TEXT,
+        "selected_options": T.ArrayType(_TEXT),
+        "recommendation_id": _TEXT,
+        "recommendation_name": _TEXT,
+        "match_score": _REAL,
+        "time_on_step_ms": _INT,
+        "total_time_ms": _INT,
+        "share_platform": _TEXT,
+        "cta_id": _TEXT,
+        "cta_label": _TEXT,
+        "extra": T.MapType(_TEXT, _TEXT),
+    }
 )
 
 #: One event as it travels in JSON.
-EVENT = T.StructType(
-    [
-        T.StructField("event_id", T.StringType()),
-        T.StructField("user_id", T.StringType()),
-        T.StructField("session_id", T.StringType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("event_properties", PROPERTIES),
-        T.StructField("feature_name", T.StringType()),
-        T.StructField("context", CONTEXT),
-        T.StructField("timestamp", T.StringType()),
-        T.StructField("received_at", T.StringType()),
-    ]
+EVENT = _struct(
+    {
+        "event_id": _TEXT,
+        "user_id": _TEXT,
+        "session_id": _TEXT,
+        "event_type": _TEXT,
+        "event_properties": PROPERTIES,
+        "feature_name": _TEXT,
+        "context": CONTEXT,
+        "timestamp": _TEXT,
+        "received_at": _TEXT,
+    }
 )
 
 #: One row of the raw lake: the event plus ingest metadata and partition keys.
 RAW = T.StructType(
     EVENT.fields
-    + [
-        T.StructField("kafka_timestamp", T.TimestampType()),
-        T.StructField("event_timestamp", T.TimestampType()),
-        T.StructField("processed_at", T.TimestampType()),
-        T.StructField("event_date", T.DateType()),
-        T.StructField("event_hour", T.IntegerType()),
-    ]
+    + _struct(
+        {
+            "kafka_timestamp": _TIME,
+            "event_timestamp": _TIME,
+            "processed_at": _TIME,
+            "event_date": T.DateType(),
+            "event_hour": _INT,
+        }
+    ).fields
 )
 
 #: Message contract shared by the broker source and the file source.
-ENVELOPE = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.BinaryType()),
-        T.StructField("timestamp", T.TimestampType()),
-    ]
-)
+ENVELOPE = _struct({"key": _TEXT, "value": T.BinaryType(), "timestamp": _TIME})
