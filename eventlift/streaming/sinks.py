@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlift.sources.lake import read_raw_lake
+
 DEFAULT_TRIGGER = "30 seconds"
 PARTITIONS = ["event_date", "event_hour"]
 
@@ -79,10 +81,8 @@ def write_raw(events: DataFrame, path: str, mode: str = "append") -> None:
     events.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
-def compact_raw(spark, source: str, target: str) -> None:
+def compact_raw(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite a lake of many small stream files into evenly sized ones elsewhere."""
-    from eventlift.sources.lake import read_raw_lake
-
     write_raw(read_raw_lake(spark, source), target, mode="overwrite")
 
 

@@ -188,6 +188,9 @@ def test_source_arguments(spark):
         stream_messages(spark, "files")
     with pytest.raises(ValueError):
         stream_messages(spark, "carrier-pigeon")
+    # No broker connector is installed here; the reader must at least ask for it.
+    with pytest.raises(Exception, match="(?i)kafka"):
+        stream_messages(spark, "kafka", servers="localhost:9092", topic="t")
 
 
 def test_await_all_raises_and_stops_the_rest(spark, raw_frame, tmp_path):
