@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from eventlift.llm.decontaminate import benchmark_hits
 from eventlift.llm.jaccard import jaccard_components
+from eventlift.llm.langid import predict_language
+from eventlift.llm.mixing import domains, mixed
 from eventlift.llm.ship import ship
+from eventlift.llm.sketch import fingerprints
 from eventlift.llm.tables import table
 from eventlift.llm.token_files import token_index
+from eventlift.llm.warc import archived
 
 
 def byte_bpe() -> str:
@@ -26,7 +33,41 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op2_jaccard_join]
+def held_out():
+    """Documents that language models are tested on: crc32 of the doc_id's digits divisible by 5."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = docs.where(~held_out()).select(F.col("doc_id").alias("key"), "lang", "text")
+    found = predict_language(docs.select("doc_id", "text"), labelled)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
+#: Shares of the mix by domain; what is toxic goes.
+MIX = {"clean": 0.9, "poor": 0.1, "toxic": 0.0}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixed(docs, domains(table(spark, sf_dir, "labels")), MIX)
+    return found.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("mix_rate").alias("rate"))
+
+
+_QUERIES = [op1_token_files, op2_jaccard_join, op4_language_id, op6_benchmark_hits, op8_fingerprints, op9_warc, op10_mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,9 @@ from eventlift.llm.tables import new_path, width
 
 #: Ends a document.
 END = 0
-#: Distinct text pieces whose ids a task remembers.
-REMEMBERED = 400_000
+#: Distinct text pieces, and matches in them, whose ids a worker remembers.
+PIECES, MATCHES = 400_000, 800_000
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 
@@ -46,46 +48,58 @@ class Encoder:
 
     Its split pattern takes no match over a space between two characters that are not white
     space, and each match is encoded on its own.  So texts are cut at such spaces; pieces and
-    matches met before take their ids from memory, and new ones go through the library's own
-    splitter and model.  Texts with an added token, and all texts of tokenizers of other
+    matches met before take their ids from memory, and new matches go through the library's
+    model in its own byte alphabet.  Texts with an added token, and all texts of tokenizers of other
     kinds, are given to the library whole.
     """
 
     def __init__(self, path: str):
+        import public_tokenizers
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.splitter, self.model = self.library.pre_tokenizer, self.library.model
-        self.other_kind = not isinstance(self.splitter, ByteLevel) or self.splitter.add_prefix_space or self.library.normalizer is not None
+        splitter, self.model = self.library.pre_tokenizer, self.library.model
+        self.other_kind = not isinstance(splitter, ByteLevel) or splitter.add_prefix_space or not splitter.use_regex or self.library.normalizer is not None
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        letters = sorted(ByteLevel.alphabet())
+        own = {ord(c) for c in letters if ord(c) < 256}
+        others = iter(sorted(ord(c) for c in letters if ord(c) >= 256))
+        self.alphabet = {b: b if b in own else next(others) for b in range(256)}
         self.of_piece: dict[str, bytes] = {}
         self.of_head: dict[str, bytes] = {}
         self.of_match: dict[str, bytes] = {}
 
-    def _learn(self, texts: list[str], known: dict[str, bytes], lead: str) -> None:
+    def _match(self, text: str) -> bytes:
+        found = self.of_match.get(text)
+        if found is None:
+            spelt = text.encode().decode("latin-1").translate(self.alphabet)
+            found = self.of_match[text] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return found
+
+    def _learn(self, texts: set[str], known: dict[str, bytes], lead: str) -> None:
         for text in texts:
-            ids = []
-            for match, _ in self.splitter.pre_tokenize_str(lead + text):
-                found = self.of_match.get(match)
-                if found is None:
-                    found = self.of_match[match] = np.array([t.id for t in self.model.tokenize(match)], "<u4").tobytes()
-                ids.append(found)
-            known[text] = b"".join(ids)
+            word = text.rstrip(_MARKS)
+            if word.isalpha():  # letters, then marks only: two matches
+                ids = self._match(lead + word)
+                known[text] = ids + self._match(text[len(word) :]) if len(word) < len(text) else ids
+            else:
+                known[text] = b"".join([self._match(m) for m in self.pattern.findall(lead + text)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        for known in (self.of_piece, self.of_head, self.of_match):
-            if len(known) > REMEMBERED:
+        for known, most in ((self.of_piece, PIECES), (self.of_head, PIECES), (self.of_match, MATCHES)):
+            if len(known) > most:
                 known.clear()
         special = [self.other_kind or any(a in t for a in self.added) for t in texts]
         cut = [[] if s else _cut(t) for t, s in zip(texts, special)]
-        self._learn(list(set().union(*(c[1:] for c in cut)) - self.of_piece.keys()), self.of_piece, " ")
-        self._learn(list({c[0] for c in cut if c} - self.of_head.keys()), self.of_head, "")
+        self._learn(set().union(*(c[1:] for c in cut)) - self.of_piece.keys(), self.of_piece, " ")
+        self._learn({c[0] for c in cut if c} - self.of_head.keys(), self.of_head, "")
         get = self.of_piece.__getitem__
         return [self.whole(t) if s else b"".join([self.of_head[c[0]], *map(get, c[1:])]) for t, c, s in zip(texts, cut, special)]
 
