@@ -3,12 +3,13 @@
 A naive Bayes classifier over hashed word, mark and shape features is learned from labelled rows
 and gives every document the posterior of each domain.  Non-negative rates x then minimise
 
-    1/2 sum_k (sum_d w_d p_dk x_d - t_k)^2  +  mu/2 sum_d w_d (x_d - 1)^2
+    1/2 sum_k c_k (sum_d w_d p_dk x_d - t_k)^2  +  mu/2 sum_d w_d (x_d - 1)^2
 
-with w_d the document's share of all tokens, p_dk its posteriors and t_k the target in the same
-unit.  In the inner product weighted by w, a projected gradient step is
+with w_d the document's share of all tokens, p_dk its posteriors, t_k the target in the same unit and
+1 / c_k = sum_d w_d p_dk^2, so that small domains count as large ones do.  In the inner product
+weighted by w, a projected gradient step is
 
-    x_d <- max(0, x_d - step (sum_k p_dk r_k + mu (x_d - 1))),   r_k = sum_d w_d p_dk x_d - t_k
+    x_d <- max(0, x_d - step (sum_k p_dk c_k r_k + mu (x_d - 1))),   r_k = sum_d w_d p_dk x_d - t_k
 
 so a document's rate follows from its posteriors and the residuals r of all steps.  Each step is one
 aggregation over the distinct posteriors; the driver holds one residual a domain and step.
@@ -25,90 +26,107 @@ from pyspark.sql import functions as F
 from eventlift.llm.tables import written
 
 #: Feature buckets: bounds the model to so many numbers a domain.
-BUCKETS = 4096
+BUCKETS = 1 << 16
 #: Labelled rows of each domain that the classifier is learned from, about.
 LABELLED = 4000
-STEPS = 60
+#: A feature counts for a domain if its share differs from the first domain's by so many deviations.
+DEVIATIONS = 6.0
+#: ... and by such a factor, as a logarithm.
+RATIO = 1.5
+STEPS = 40
 TOLERANCE = 1e-3
 PULL = 0.01
 #: Posteriors are kept to so many places, so that equal cases meet.
 PLACES = 6
+#: Stands for the row itself among its features.
+ROW = -1
+_KEY = ["doc_id", "mix_hash"]
 
 
-def features(text: Column) -> Column:
-    """Buckets of lower-case letter words, of runs of other characters, and of the share of new words."""
-    text = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\s]+", "")), r"\s+"), lambda w: w != "")
-    marks = F.filter(F.split(F.regexp_replace(text, r"[\p{L}\s]+", " "), " "), lambda w: w != "")
-    share = F.floor(8 * F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1)))
-    shape = F.array_repeat(F.concat(F.lit("\u0001share"), share.cast("string")), 8)
-    every = F.concat(words, F.transform(marks, lambda m: F.concat(F.lit("\u0001mark"), m)), shape)
-    return F.transform(every, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+def bucketed(docs: DataFrame, *kept: str) -> DataFrame:
+    """``kept`` columns and ``bucket``, a row for each feature of each text and one with ``ROW``.
+
+    Features are the distinct lower-cased words of letters, the distinct runs of other characters,
+    and the share of distinct words in eighths.  A text counts once for each.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\s]+", "")), r"\s+")
+    marks = F.split(F.regexp_replace(text, r"[\p{L}\s]+", " "), " ")
+    rows = docs.select(*kept, words.alias("words"), F.array_distinct(marks).alias("marks")).withColumn("own", F.array_distinct("words"))
+    share = F.floor(8 * F.size("own") / F.size("words")).cast("string")
+    rows = rows.select(*kept, F.explode(F.concat("own", "marks", F.array(F.concat(F.lit("share"), share), F.lit("\u0001")))).alias("feature"))
+    return rows.where("feature <> ''").select(*kept, F.when(F.col("feature") == "\u0001", ROW).otherwise(F.pmod(F.xxhash64("feature"), F.lit(BUCKETS))).cast("int").alias("bucket"))
 
 
 def tokens(text: Column) -> Column:
     """Runs of characters other than white space."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("long")
+
+
+class Model:
+    """Domains in order, and the log odds of each against the first: of a row, and of each feature that tells."""
+
+    def __init__(self, names: list[str], prior: list[float], odds: dict[int, list[float]]):
+        self.names, self.prior, self.odds = names, prior, odds
+
+    def table(self, spark) -> DataFrame:
+        """(bucket, o1, ...), a row for ``ROW`` included; ``BUCKETS`` + 1 rows at most."""
+        schema = ", ".join(["bucket int", *(f"o{k} double" for k in range(1, len(self.names)))])
+        rows = {ROW: self.prior, **self.odds}
+        return spark.createDataFrame([(b, *o) for b, o in sorted(rows.items())], schema)
 
 
-def learn(docs: DataFrame, labelled: DataFrame) -> dict[str, tuple[float, list[float]]]:
-    """Log prior and log feature weights of each domain, from ``docs`` (doc_id, text) and ``labelled`` (doc_id, domain).
+def learn(docs: DataFrame, labelled: DataFrame) -> Model:
+    """From ``docs`` (doc_id, text) and ``labelled`` (doc_id, domain).
 
     About ``LABELLED`` labelled rows of each domain, chosen by a hash of doc_id, are used; that
     bounds what is sent to the tasks.
     """
     labelled = labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL").distinct()
     counts = {r[0]: r[1] for r in labelled.groupBy("domain").count().collect()}  # a row a domain
-    if not counts:
-        return {}
+    names = sorted(counts)
+    if not names:
+        return Model([], [], {})
     share = F.lit(0.0)
     for domain, n in counts.items():
         share = F.when(F.col("domain") == domain, F.lit(min(1.0, LABELLED / n))).otherwise(share)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("domain", F.explode(features(F.col("text"))).alias("bucket"))
-    found = rows.groupBy("domain", "bucket").count().groupBy("domain").agg(F.collect_list(F.struct("bucket", "count")).alias("counts")).collect()  # BUCKETS a domain at most
-    total = sum(counts.values())
-    model = {}
-    held = {r["domain"]: r["counts"] for r in found}
-    for domain in sorted(counts):
-        own = [0.5] * BUCKETS
-        for bucket, n in held.get(domain, []):
-            own[bucket] += n
-        norm = math.log(sum(own))
-        model[domain] = (math.log(counts[domain] / total), [math.log(n) - norm for n in own])
-    return model
-
-
-def posteriors(text: Column, model: dict[str, tuple[float, list[float]]]) -> Column:
-    """Array of the posteriors of the domains in order; without a model an empty one."""
-    buckets = features(text)
-    if not model:
-        return F.array().cast("array<double>")
-    base_prior, base = next(iter(model.values()))
-    scores = []
-    for prior, weights in model.values():
-        # against the first domain, as one constant array
-        ratios = F.expr("cast(split('" + ",".join(f"{a - b:.5f}" for a, b in zip(weights, base)) + "', ',') AS array<double>)")
-        scores.append(F.aggregate(buckets, F.lit(prior - base_prior), lambda s, b, r=ratios: s + F.element_at(r, b + 1)))
-    scores[0] = F.lit(0.0)
-    top = F.array_max(F.array(*scores))
-    odds = F.transform(F.array(*scores), lambda s: F.exp(F.greatest(s - top, F.lit(-60.0))))
-    norm = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(odds, lambda o: F.round(o / norm, PLACES))
-
-
-def _dot(p: Column, numbers: list[float]) -> Column:
-    out = F.lit(0.0)
-    for k, r in enumerate(numbers):
-        out = out + F.element_at(p, k + 1) * F.lit(float(r))
-    return out
-
-
-def rate(p: Column, residuals: list[list[float]], step: float, pull: float) -> Column:
-    """A document's rate after all steps, from its posteriors."""
-    if not residuals:
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select(F.col("doc_id").cast("long").alias("doc_id"), "domain")
+    texts = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["domain", "text"])
+    rows = bucketed(texts, "domain")
+    each = rows.groupBy("bucket").pivot("domain", names).count().fillna(0).collect()  # BUCKETS + 1 rows
+    number = {r["bucket"]: [r[d] for d in names] for r in each}
+    sums = [x + 1 for x in number.pop(ROW, [0] * len(names))]  # texts of each domain
+    odds = {}
+    for bucket, n in number.items():
+        rates = [x / s for x, s in zip(n, sums)]
+        own = []
+        for k in range(1, len(names)):
+            spread = math.sqrt((n[k] + 0.5) / sums[k] ** 2 + (n[0] + 0.5) / sums[0] ** 2)
+            ratio = math.log((n[k] + 0.5) / sums[k]) - math.log((n[0] + 0.5) / sums[0])
+            tells = abs(rates[k] - rates[0]) > DEVIATIONS * spread and abs(ratio) > RATIO
+            own.append(ratio if tells else 0.0)
+        if any(own):
+            odds[bucket] = own
+    return Model(names, [math.log(counts[d] / counts[names[0]]) for d in names[1:]], odds)
+
+
+def posteriors(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, mix_hash, mix_tokens, mix_posteriors, rows) of the distinct rows of (doc_id, mix_hash, mix_tokens, text)."""
+    scores = [f"o{k}" for k in range(1, len(model.names))]
+    found = bucketed(docs, *_KEY, "mix_tokens").join(F.broadcast(model.table(docs.sparkSession)), "bucket")
+    found = found.groupBy(*_KEY).agg(F.max("mix_tokens").alias("mix_tokens"), F.count(F.when(F.col("bucket") == ROW, 1)).alias("rows"), *(F.sum(s).alias(s) for s in scores))
+    scaled = [F.lit(0.0), *(F.col(s) / F.col("rows") for s in scores)]
+    top = F.greatest(*scaled) if len(scaled) > 1 else scaled[0]
+    powers = [F.exp(F.greatest(s - top, F.lit(-60.0))) for s in scaled]
+    norm = sum(powers[1:], powers[0])
+    return found.select(*_KEY, "mix_tokens", F.array(*(F.round(x / norm, PLACES) for x in powers)).alias("mix_posteriors"), "rows")
+
+
+def rate(p: Column, pushes: list[list[float]], step: float, pull: float) -> Column:
+    """A document's rate after all steps, from its posteriors and c_k r_k of each step."""
+    if not pushes:
         return F.lit(1.0)
-    history = F.array(*(F.array(*(F.lit(float(r)) for r in rs)) for rs in residuals))
+    history = F.array(*(F.array(*(F.lit(float(r)) for r in rs)) for rs in pushes))
 
     def stepped(x: Column, rs: Column) -> Column:
         pushed = F.aggregate(F.zip_with(p, rs, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
@@ -118,14 +136,14 @@ def rate(p: Column, residuals: list[list[float]], step: float, pull: float) -> C
 
 
 def fit(cells: DataFrame, weights: list[float], total: float | None = None, steps: int = STEPS, pull: float = PULL) -> tuple[list[list[float]], float]:
-    """Residuals of all steps and the step size, for ``cells`` (p, n): posteriors and the tokens that have them.
+    """c_k r_k of all steps and the step size, for ``cells`` (p, n): posteriors and the tokens that have them.
 
     ``weights`` are the domains' shares of the mix, ``total`` its tokens; by default as many as keep
     all expected tokens of the domain with the largest weight.
     """
     k = len(weights)
-    p = F.col("p")
-    sums = cells.agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.element_at(p, i + 1)).alias(f"d{i}") for i in range(k)), F.sum(F.col("n") * F.aggregate(p, F.lit(0.0), lambda a, b: a + b * b)).alias("s")).first()
+    part = [F.element_at("p", i + 1) for i in range(k)]
+    sums = cells.agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * part[i]).alias(f"d{i}") for i in range(k)), *(F.sum(F.col("n") * part[i] * part[i]).alias(f"s{i}") for i in range(k))).first()
     everything = float(sums["n"] or 0)
     if not everything or not sum(weights):
         return [], 1.0
@@ -133,32 +151,34 @@ def fit(cells: DataFrame, weights: list[float], total: float | None = None, step
     largest = max(range(k), key=lambda i: weights[i])
     total = float(sums[f"d{largest}"]) / weights[largest] if total is None else total
     targets = [w * total / everything for w in weights]
-    step = 1.0 / (float(sums["s"]) / everything + pull)
-    residuals: list[list[float]] = []
+    scale = [everything / float(sums[f"s{i}"]) if sums[f"s{i}"] else 0.0 for i in range(k)]
+    step = 1.0 / (sum(s > 0 for s in scale) + pull)
+    pushes: list[list[float]] = []
     for _ in range(steps):
-        x = rate(p, residuals, step, pull)
-        met = cells.withColumn("x", x).agg(*(F.sum(F.col("n") * F.col("x") * F.element_at(p, i + 1)) for i in range(k))).first()
-        residuals.append([float(m) / everything - t for m, t in zip(met, targets)])
-        if max(map(abs, residuals[-1])) < TOLERANCE:
+        met = cells.withColumn("x", rate(F.col("p"), pushes, step, pull)).agg(*(F.sum(F.col("n") * F.col("x") * part[i]) for i in range(k))).first()
+        residual = [float(m) / everything - t for m, t in zip(met, targets)]
+        if max(map(abs, residual)) < TOLERANCE:
             break
-    return residuals, step
+        pushes.append([c * r for c, r in zip(scale, residual)])
+    return pushes, step
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total: float | None = None) -> DataFrame:
-    """``docs`` with ``mix_tokens``, ``mix_posteriors`` (by domain in order) and ``mix_rate``.
+    """(doc_id, mix_hash, mix_tokens, mix_posteriors by domain in order, rows, mix_rate) of the distinct (doc_id, text) of ``docs``.
 
-    ``labelled`` has doc_id and domain; domains that ``weights`` leaves out have target 0.  Without labelled
-    rows, or if all tokens are in no weighted domain, rates are 1.  A null or empty text has no
-    tokens and the posteriors of the priors.  Repeated rows count as often as they occur.
+    ``mix_hash`` is the xxhash64 of the text.  ``labelled`` has doc_id and domain; domains that
+    ``weights`` leaves out have target 0.  Without labelled rows, or without tokens, rates are 1.  A
+    null or empty text has no tokens.  Repeated rows are one row that counts ``rows`` times.
     """
-    model = learn(docs, labelled)
-    scored = docs.withColumn("mix_tokens", tokens(F.col("text"))).withColumn("mix_posteriors", posteriors(F.col("text"), model))
-    if not model:
-        return scored.withColumn("mix_rate", F.lit(1.0))
-    scored = written(scored, "mixing-posteriors")
-    cells = written(scored.groupBy(F.col("mix_posteriors").alias("p")).agg(F.sum("mix_tokens").alias("n")), "mixing-cells")
-    residuals, step = fit(cells, [weights.get(d, 0.0) for d in model], total)
-    return scored.withColumn("mix_rate", rate(F.col("mix_posteriors"), residuals, step, PULL))
+    model = learn(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labelled)
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("mix_hash"), tokens(F.col("text")).alias("mix_tokens"), "text")
+    if not model.names:
+        found = keyed.groupBy(*_KEY).agg(F.max("mix_tokens").alias("mix_tokens"), F.count("*").alias("rows"))
+        return found.select(*_KEY, "mix_tokens", F.array().cast("array<double>").alias("mix_posteriors"), "rows", F.lit(1.0).alias("mix_rate"))
+    scored = written(posteriors(keyed, model), "mixing-posteriors")
+    cells = written(scored.groupBy(F.col("mix_posteriors").alias("p")).agg(F.sum(F.col("mix_tokens") * F.col("rows")).alias("n")), "mixing-cells")
+    pushes, step = fit(cells, [weights.get(d, 0.0) for d in model.names], total)
+    return scored.withColumn("mix_rate", rate(F.col("mix_posteriors"), pushes, step, PULL))
 
 
 def domains(labels: DataFrame) -> DataFrame:

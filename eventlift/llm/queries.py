@@ -62,9 +62,8 @@ MIX = {"clean": 0.9, "poor": 0.1, "toxic": 0.0}
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = mixed(docs, domains(table(spark, sf_dir, "labels")), MIX)
-    return found.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("mix_rate").alias("rate"))
+    found = mixed(table(spark, sf_dir, "documents").select("doc_id", "text"), domains(table(spark, sf_dir, "labels")), MIX)
+    return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
 
 
 _QUERIES = [op1_token_files, op2_jaccard_join, op4_language_id, op6_benchmark_hits, op8_fingerprints, op9_warc, op10_mixing]
