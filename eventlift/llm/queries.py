@@ -15,6 +15,7 @@ from eventlift.llm.mixing import domains, mixed
 from eventlift.llm.ship import ship
 from eventlift.llm.sketch import fingerprints
 from eventlift.llm.tables import table
+from eventlift.llm.template import main_texts
 from eventlift.llm.token_files import token_index
 from eventlift.llm.warc import archived
 
@@ -45,6 +46,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -66,7 +71,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
 
 
-_QUERIES = [op1_token_files, op2_jaccard_join, op4_language_id, op6_benchmark_hits, op8_fingerprints, op9_warc, op10_mixing]
+_QUERIES = [op1_token_files, op2_jaccard_join, op4_language_id, op5_main_text, op6_benchmark_hits, op8_fingerprints, op9_warc, op10_mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
