@@ -12,6 +12,8 @@ from eventlift.llm.decontaminate import benchmark_hits
 from eventlift.llm.jaccard import jaccard_components
 from eventlift.llm.langid import predict_language
 from eventlift.llm.mixing import domains, mixed
+from eventlift.llm.passages import repeated_passages
+from eventlift.llm.quotes import reply_ordered
 from eventlift.llm.ship import ship
 from eventlift.llm.sketch import fingerprints
 from eventlift.llm.tables import table
@@ -34,6 +36,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_reply_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def held_out():
     """Documents that language models are tested on: crc32 of the doc_id's digits divisible by 5."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -54,6 +60,10 @@ def op6_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -71,7 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
 
 
-_QUERIES = [op1_token_files, op2_jaccard_join, op4_language_id, op5_main_text, op6_benchmark_hits, op8_fingerprints, op9_warc, op10_mixing]
+_QUERIES = [op1_token_files, op2_jaccard_join, op3_reply_order, op4_language_id, op5_main_text, op6_benchmark_hits, op7_repeated_passages, op8_fingerprints, op9_warc, op10_mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
