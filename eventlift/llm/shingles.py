@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 _rng = np.random.default_rng(20240131)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
@@ -72,7 +72,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     lengths = np.diff(np.append(starts, len(data)))
     data = data[starts[0] :]
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(starts - starts[0], lengths)
+    place = np.arange(len(data), dtype=np.int32) - np.repeat((starts - starts[0]).astype(np.int32), lengths)
     values = _BYTE[data]
     # trailing space of a word counts as zero, so its places need no power of their own
     place[values == 0] = 0
