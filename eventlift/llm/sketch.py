@@ -69,8 +69,11 @@ class Sketch:
             return 0.0
         return len(np.intersect1d(mine, theirs, assume_unique=True)) / min(len(mine), len(theirs))
 
+    def __bytes__(self) -> bytes:
+        return np.append(np.uint64(self.covered), self.hashes).astype(">u8").tobytes()
+
     def __str__(self) -> str:
-        return np.append(np.uint64(self.covered), self.hashes).astype(">u8").tobytes().hex()
+        return bytes(self).hex()
 
 
 def edited(text: str, after: str) -> str:
@@ -79,7 +82,7 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - n] + after[:n]
 
 
-_FIELDS = "kind tinyint, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
+_FIELDS = "kind tinyint, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 
 
@@ -95,8 +98,8 @@ def _compared(ids: list, texts: list[str], afters: list[str]) -> list[list]:
         ids,
         [len(t) for t in texts],
         sha,
-        [str(s) for s in own],
-        [str(s) for s in new],
+        [bytes(s) for s in own],
+        [bytes(s) for s in new],
         [a.containment(b) for a, b in zip(own, new)],
         [a.containment(b) for a, b in zip(own, theirs)],
         [None] * len(ids),
@@ -104,7 +107,7 @@ def _compared(ids: list, texts: list[str], afters: list[str]) -> list[list]:
 
 
 def _batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int8(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
+    kinds = [pa.int8(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
 
 
@@ -153,4 +156,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     tails = done.where("kind = 2").select("doc_id", "text", F.row_number().over(order).alias("i"), F.count("*").over(Window.partitionBy()).alias("n"))
     met = tails.withColumn("i", F.expr("i % n + 1")).join(heads, "i").select("doc_id", "text", "after")
     rest = met.mapInArrow(_pairs, _FIELDS)
-    return done.where("kind = 0").unionByName(rest).drop("kind", "part", "text")
+    found = done.where("kind = 0").unionByName(rest).drop("kind", "part", "text")
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
