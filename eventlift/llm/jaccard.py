@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,25 +183,51 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, name, n, first)], names=["key", "name", "n", "first"])
 
 
-def _sets(size: int):
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, as they are shuffled and joined for verification only."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = (x.as_buffer() for x in _column(batch, "text").fill_null("").cast(pa.large_binary()))
+        yield pa.RecordBatch.from_arrays([_column(batch, "id"), pa.array([packer.compress(x) for x in texts], pa.binary())], names=["id", "packed"])
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    unpacker = zstandard.ZstdDecompressor()
+    return pa.array([unpacker.decompress(x.as_buffer()).decode() for x in column], pa.string())
+
+
+def _named(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(set_name(own), own.tobytes()) for own in shingle_sets(_column(batch, "text"), size) if len(own)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["name", "grams"])
+            packed = _column(batch, "packed")
+            for at in range(0, len(packed), 500):
+                part = packed.slice(at, 500)
+                names = [set_name(own) if len(own) else None for own in shingle_sets(_unpacked(part), size)]
+                rows = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), part], names=["name", "packed"])
+                yield rows.filter(rows.column(0).is_valid())
 
     return run
 
 
-def _verifier(percent: int):
+def _verifier(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            keep = []
-            for x, y in zip(_column(batch, "x"), _column(batch, "y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared))
-            yield pa.RecordBatch.from_arrays([_column(batch, "a"), _column(batch, "b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            a, b = _column(batch, "a"), _column(batch, "b")
+            for at in range(0, batch.num_rows, 500):
+                pairs = list(zip(a.slice(at, 500).to_pylist(), b.slice(at, 500).to_pylist()))
+                now = {n for p in pairs for n in p}
+                held = {n: s for n, s in held.items() if n in now}
+                for side, packed in ((0, _column(batch, "x")), (1, _column(batch, "y"))):
+                    rows = {p[side]: at + i for i, p in enumerate(pairs) if p[side] not in held}
+                    if rows:
+                        held.update(zip(rows, shingle_sets(_unpacked(packed.take(pa.array(list(rows.values())))), size)))
+                keep = []
+                for m, n in pairs:
+                    both = np.sort(np.concatenate([held[m], held[n]]))
+                    shared = int((both[1:] == both[:-1]).sum())
+                    keep.append(100 * shared >= percent * (len(both) - shared))
+                yield pa.RecordBatch.from_arrays([a.slice(at, 500), b.slice(at, 500)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -228,19 +255,15 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     lists = written(entries.mapInArrow(_lists, "key long, name long, n long, first long"), "jaccard-lists")
 
     wanted = members.join(lists.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("id"))
-    sets = written(
-        texts.join(wanted.select("id").distinct(), texts["id"].eqNullSafe(wanted["id"]), "left_semi")
-        .select("text")
-        .mapInArrow(_sets(size), "name long, grams binary")
-        .join(wanted.select("name"), "name", "left_semi")
-        .dropDuplicates(["name"]),
-        "jaccard-sets",
-    )
+    # a repeated doc_id may bring a text twice or one that nobody asked for, which adds no link
+    packed = texts.mapInArrow(_packed, "id long, packed binary")
+    sets = packed.join(wanted.select("id").distinct(), packed["id"].eqNullSafe(wanted["id"]), "left_semi").select("packed")
+    sets = written(sets.mapInArrow(_named(size), "name long, packed binary"), "jaccard-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("name").alias("a"), F.col("grams").alias("x"))
-        right = sets.select(F.col("name").alias("b"), F.col("grams").alias("y"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(percent), "a long, b long")
+        left = sets.select(F.col("name").alias("a"), F.col("packed").alias("x"))
+        right = sets.select(F.col("name").alias("b"), F.col("packed").alias("y"))
+        return pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(size, percent), "a long, b long")
 
     sized = members.groupBy("name").agg(F.first("n_shingles").alias("n"))
     stars = lists.where("name <> first").select(F.col("name").alias("a"), F.col("first").alias("b")).distinct()
