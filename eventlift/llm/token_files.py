@@ -27,7 +27,7 @@ from eventlift.llm.tables import new_path, width
 #: Ends a document.
 END = 0
 #: Distinct text pieces, and matches in them, whose ids a worker remembers.
-PIECES, MATCHES = 400_000, 800_000
+PIECES, MATCHES = 400_000, 1_000_000
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
@@ -43,6 +43,17 @@ def _cut(text: str) -> list[str]:
     return plain
 
 
+class Known(dict):
+    """Ids by text, worked out where a text is new."""
+
+    def __init__(self, work):
+        self.work = work
+
+    def __missing__(self, text: str) -> bytes:
+        found = self[text] = self.work(text)
+        return found
+
+
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer.
 
@@ -68,25 +79,20 @@ class Encoder:
         own = {ord(c) for c in letters if ord(c) < 256}
         others = iter(sorted(ord(c) for c in letters if ord(c) >= 256))
         self.alphabet = {b: b if b in own else next(others) for b in range(256)}
-        self.of_piece: dict[str, bytes] = {}
-        self.of_head: dict[str, bytes] = {}
-        self.of_match: dict[str, bytes] = {}
+        self.of_match = Known(self._match)
+        self.of_piece = Known(lambda text: self._piece(" ", text) if text else b"")
+        self.of_head = Known(lambda text: self._piece("", text))
 
     def _match(self, text: str) -> bytes:
-        found = self.of_match.get(text)
-        if found is None:
-            spelt = text.encode().decode("latin-1").translate(self.alphabet)
-            found = self.of_match[text] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-        return found
+        spelt = text.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
-    def _learn(self, texts: set[str], known: dict[str, bytes], lead: str) -> None:
-        for text in texts:
-            word = text.rstrip(_MARKS)
-            if word.isalpha():  # letters, then marks only: two matches
-                ids = self._match(lead + word)
-                known[text] = ids + self._match(text[len(word) :]) if len(word) < len(text) else ids
-            else:
-                known[text] = b"".join([self._match(m) for m in self.pattern.findall(lead + text)])
+    def _piece(self, lead: str, text: str) -> bytes:
+        word = text.rstrip(_MARKS)
+        if word.isalpha():  # letters, then marks only: two matches
+            ids = self.of_match[lead + word]
+            return ids + self.of_match[text[len(word) :]] if len(word) < len(text) else ids
+        return b"".join([self.of_match[m] for m in self.pattern.findall(lead + text)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -96,12 +102,11 @@ class Encoder:
         for known, most in ((self.of_piece, PIECES), (self.of_head, PIECES), (self.of_match, MATCHES)):
             if len(known) > most:
                 known.clear()
-        special = [self.other_kind or any(a in t for a in self.added) for t in texts]
-        cut = [[] if s else _cut(t) for t, s in zip(texts, special)]
-        self._learn(set().union(*(c[1:] for c in cut)) - self.of_piece.keys(), self.of_piece, " ")
-        self._learn({c[0] for c in cut if c} - self.of_head.keys(), self.of_head, "")
-        get = self.of_piece.__getitem__
-        return [self.whole(t) if s else b"".join([self.of_head[c[0]], *map(get, c[1:])]) for t, c, s in zip(texts, cut, special)]
+        return [self.whole(t) if self.other_kind or any(a in t for a in self.added) else self._joined(_cut(t)) for t in texts]
+
+    def _joined(self, cut: list[str]) -> bytes:
+        head, cut[0] = cut[0], ""
+        return self.of_head[head] + b"".join(map(self.of_piece.__getitem__, cut))
 
 
 def _writer(tokenizer: str):
