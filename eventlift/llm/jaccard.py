@@ -15,9 +15,10 @@ The boundary is chosen by cost: subsets to enumerate for the sizes below it agai
 and the pairs that lists hold for the sizes above it, both summed over all texts.
 
 Candidates are verified on the full sets.  Only components are reported, so lists are
-compared in two steps: every member with the first of its list, then, in lists whose members are
-still in different components, all members of different components.  A pair inside one
-component cannot change the result, so a group of n copies costs n pairs, not n squared.
+compared in steps: every member with one of its list, three times with different ones, then, in
+lists whose members are still in different components, all members of different components.
+A pair inside one component cannot change the result, so a group of n near copies that the
+first steps join costs n pairs, not n squared.
 """
 
 from __future__ import annotations
@@ -151,7 +152,7 @@ def _poster(size: int, percent: int, frequent: np.ndarray, limit: int):
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From entries in order of (key, n, name): those of lists with two different sets at least, with the first of the list."""
+    """From entries in order of (key, name): those of lists with two different sets at least, with the first of the list."""
     held = np.zeros((4, 0), np.int64)  # the last entry of the batch before: key, name, n and its list's first
     open_list = False
     for batch in batches:
@@ -251,7 +252,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     limit = boundary(costs)
 
     entries = texts.select("text").mapInArrow(_poster(size, percent, frequent, limit), "key long, name long, n int")
-    entries = entries.repartition(width(spark), "key").sortWithinPartitions("key", "n", "name")
+    entries = entries.repartition(width(spark), "key").sortWithinPartitions("key", "name")
     lists = written(entries.mapInArrow(_lists, "key long, name long, n long, first long"), "jaccard-lists")
 
     wanted = members.join(lists.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("id"))
@@ -265,20 +266,33 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
         right = sets.select(F.col("name").alias("b"), F.col("packed").alias("y"))
         return pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(size, percent), "a long, b long")
 
-    sized = members.groupBy("name").agg(F.first("n_shingles").alias("n"))
-    stars = lists.where("name <> first").select(F.col("name").alias("a"), F.col("first").alias("b")).distinct()
-    stars = stars.join(sized.select(F.col("name").alias("a"), F.col("n").alias("na")), "a").join(sized.select(F.col("name").alias("b"), F.col("n").alias("nb")), "b")
-    stars = written(stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), "jaccard-stars")
-    links = written(verified(stars), "jaccard-links")
-    found = components(links)
-
-    placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    placed = written(placed.join(split, "key", "left_semi"), "jaccard-split")
+    def alike(pairs: DataFrame) -> DataFrame:
+        return pairs.where(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def grouped(found: DataFrame) -> DataFrame:
+        """Entries of the lists whose members are in more than one component."""
+        placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
+        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        return written(placed.join(split, "key", "left_semi"), "jaccard-split")
+
+    tried, links, found = None, None, None
+    placed = lists.withColumn("root", F.col("name"))
+    # every member with one of its list, three times over, as long as components differ
+    for pivot in (F.min(F.struct("name", "n", "root")), F.max(F.struct("name", "n", "root")), F.min(F.struct(F.xxhash64("name"), "name", "n", "root"))):
+        one = placed.groupBy("key").agg(pivot.alias("p")).select("key", F.col("p.name").alias("b"), F.col("p.n").alias("nb"), F.col("p.root").alias("rb"))
+        pairs = placed.select("key", F.col("name").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")).join(one, "key").where("ra <> rb")
+        pairs = alike(pairs)
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-stars")
+        linked = written(verified(pairs), "jaccard-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = linked if links is None else links.unionByName(linked)
+        found = components(links)
+        placed = grouped(found)
+
+    # what is still apart, each with each of another component
     left = placed.select("key", F.col("name").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = placed.select("key", F.col("name").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = left.join(right, "key").where(f"a < b AND ra <> rb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-    rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
+    rest = alike(left.join(right, "key").where("a < b AND ra <> rb")).join(tried, ["a", "b"], "left_anti")
     more = written(verified(rest), "jaccard-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
