@@ -71,9 +71,8 @@ once AS (
     device_type,
     CASE device_type WHEN 'desktop' THEN 1920 WHEN 'mobile' THEN 390 ELSE 820 END AS screen_width,
     CASE device_type WHEN 'desktop' THEN 1080 WHEN 'mobile' THEN 844 ELSE 1180 END AS screen_height,
-    ['America/New_York', 'America/Los_Angeles', 'America/Chicago', 'Europe/London', 'Europe/Paris',
-     'Asia/Tokyo', 'Asia/Singapore'][id % 7 + 1] AS user_timezone,
-    ['en-US', 'en-GB', 'de-DE', 'fr-FR', 'ja-JP'][id % 5 + 1] AS user_locale,
+    ['UTC', 'UTC', 'Europe/Vienna', 'Australia/Perth', 'Africa/Lagos', 'Nowhere/Undeclared', 'America/Lima'][id % 7 + 1] AS user_timezone,
+    ['nl-NL', 'nl-NL', 'pt-BR', 'sv-SE', 'x-test'][id % 5 + 1] AS user_locale,
     CASE WHEN id % 50 = 7 THEN 'Googlebot/2.1' WHEN id % 5 = 0 THEN NULL
          WHEN device_type = 'desktop' THEN 'Mozilla/5.0 (X11; Linux x86_64)'
          WHEN device_type = 'mobile' THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 17_0) Mobile/15E148'

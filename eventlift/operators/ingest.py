@@ -102,6 +102,11 @@ def stamp_received(events: DataFrame, received_at: Column | None = None) -> Data
     return events.withColumn("received_at", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
+def stripped(name: str) -> Column:
+    """A text column without white space of any kind at its ends."""
+    return F.regexp_replace(name, r"^\s+|\s+$", "")
+
+
 def _out_of_range(field: str, low, high) -> Column:
     sides = [F.col(field) < low] if low is not None else []
     if high is not None:
@@ -118,7 +123,7 @@ def validation_rules(
     """The rules as (reason, condition that breaks it)."""
     rules = [
         ("user_id:missing", F.col("user_id").isNull()),
-        ("user_id:blank", F.length(F.trim("user_id")) == 0),
+        ("user_id:blank", F.length(stripped("user_id")) == 0),
         ("session_id:missing", F.col("session_id").isNull()),
         ("event_type:missing", F.col("event_type").isNull()),
         ("event_type:unknown", ~F.col("event_type").isin(schema.EVENT_TYPES)),
@@ -132,6 +137,7 @@ def validation_rules(
     if require_time:
         rules.append(("timestamp:invalid", F.try_to_timestamp("timestamp").isNull()))
     rules += [(f"{rule[0].split('.')[-1]}:range", _out_of_range(*rule)) for rule in ranges]
+    rules.append(("event_id:missing", F.col("event_id").isNull()))
     return rules
 
 
@@ -163,8 +169,8 @@ def validate_events(
     )
     none = F.array().cast("array<string>")
     return (
-        events.withColumn("user_id", F.trim("user_id"))
-        .withColumn("reject_code", broken)
+        # one projection over the scan's own columns, so that unused nested fields are not read
+        events.withColumns({"user_id": stripped("user_id"), "reject_code": broken})
         .withColumn("reject_reasons", F.when(F.col("reject_code") == 0, none).otherwise(texts))
     )
 

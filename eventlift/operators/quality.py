@@ -34,8 +34,14 @@ def dedup_events(
 
 
 def dedup_stream(events: DataFrame, watermark: str = "1 hour", key: str = "event_id") -> DataFrame:
-    """Streaming form: the first arriving copy wins, state lives for the watermark."""
-    return events.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark([key])
+    """Streaming form: the first arriving copy wins, state lives for the watermark.
+
+    As in the batch form, rows without an id have no copies: they go round the operator, so
+    null is no key in its state.
+    """
+    marked = events.withWatermark("event_timestamp", watermark)
+    once = marked.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return once.unionByName(marked.where(F.col(key).isNull()))
 
 
 def is_human(user_agent: Column) -> Column:

@@ -64,6 +64,17 @@ def _write(
     writer.parquet(path)
 
 
+def _drop_days(spark: SparkSession, path: str, df: DataFrame, days: tuple[dt.date, dt.date]) -> None:
+    """Delete the partitions of a refreshed range that the new rows no longer have."""
+    kept = {str(r[0]) for r in df.select("event_date").distinct().collect()}  # a row a day
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        day = status.getPath().getName().partition("event_date=")[2]
+        if day and day not in kept and str(days[0]) <= day <= str(days[1]):
+            files.delete(status.getPath(), True)
+
+
 def build_marts(
     spark: SparkSession,
     raw: DataFrame,
@@ -86,7 +97,12 @@ def build_marts(
 
     staged = stage(raw, variables)
     staged.createOrReplaceTempView("stg_events")
-    _write(fact_events(staged), path("fact_events"), True, partial, variables.gather_facts)
+    # rows that were shuffled would leave a file of every task in every day
+    gather = variables.gather_facts or variables.dedup
+    if partial:
+        _drop_days(spark, path("fact_events"), staged, days)
+        _drop_days(spark, path("activity"), staged, days)
+    _write(fact_events(staged), path("fact_events"), True, partial, gather)
     fact = spark.read.parquet(path("fact_events"))
 
     source = fact.where(F.col("event_date").between(*days)) if partial else fact

@@ -10,7 +10,7 @@ import argparse
 
 from eventlift.operators.ingest import parse_events
 from eventlift.plans.session import build_session, checkpoint_root
-from eventlift.sources.messages import DEFAULT_MAX_OFFSETS, DEFAULT_TOPIC, stream_messages
+from eventlift.sources.messages import DEFAULT_TOPIC, stream_messages
 from eventlift.streaming.job import await_all, start_all, start_dead_letters, valid_only
 from eventlift.streaming.sinks import DEFAULT_TRIGGER
 
@@ -24,8 +24,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--max-per-trigger",
         type=int,
-        help=f"offsets ({DEFAULT_MAX_OFFSETS} unless given) or files per micro-batch",
+        help="offsets or files per micro-batch; no limit unless given",
     )
+    parser.add_argument("--allow-data-loss", action="store_true", help="go on where the topic has dropped messages")
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoints")
     parser.add_argument(
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
         topic=args.topic,
         path=args.path,
         max_per_trigger=args.max_per_trigger,
+        fail_on_data_loss=not args.allow_data_loss,
     )
     events = parse_events(messages)
     queries = start_all(

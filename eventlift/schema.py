@@ -63,7 +63,8 @@ RANGE_RULES = [
 
 MAX_BATCH_EVENTS = 1000
 
-UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+# With or without hyphens, braces and the URN prefix; no line end may follow.
+UUID_PATTERN = r"^(urn:uuid:)?\{?[0-9a-fA-F]{8}(-?[0-9a-fA-F]{4}){3}-?[0-9a-fA-F]{12}\}?\z"
 
 # --------------------------------------------------------------------------
 # Spark types; field names and order are fixed by the wire contract.

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from eventlift import schema
 
 DEFAULT_TOPIC = "user_events"
-DEFAULT_MAX_OFFSETS = 10_000
 
 
 def stream_messages(
@@ -23,11 +22,13 @@ def stream_messages(
     starting_offsets: str = "latest",
     max_per_trigger: int | None = None,
     options: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Streaming envelopes from a broker (``kind="kafka"``) or a folder (``"files"``).
 
-    ``max_per_trigger`` limits a micro-batch: offsets for the broker (10,000 unless
-    given), files for the folder (no limit unless given).  The broker source needs
+    ``max_per_trigger`` limits a micro-batch, in offsets for the broker and files for the
+    folder; there is no limit unless given.  Messages that have aged out of the topic
+    stop the stream unless ``fail_on_data_loss`` is false.  The broker source needs
     the Kafka connector on the session's class path.
     """
     if kind == "kafka":
@@ -36,9 +37,10 @@ def stream_messages(
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
-            .option("maxOffsetsPerTrigger", max_per_trigger or DEFAULT_MAX_OFFSETS)
+            .option("failOnDataLoss", str(fail_on_data_loss).lower())
         )
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         return reader.options(**(options or {})).load().select(*schema.ENVELOPE.names)
     if kind == "files":
         if path is None:
