@@ -248,8 +248,9 @@ def test_repeated_passages(session):
 
 
 def test_mixing_meets_targets(session):
-    texts = [(i, f"good fine {'nice' if i % 2 else 'well'} day") for i in range(60)] + [(100 + i, "bad *** awful $$$") for i in range(30)] + [(200, None)]
-    labelled = session.createDataFrame([(i, "g") for i in range(0, 60, 2)] + [(100 + i, "b") for i in range(0, 30, 2)] + [(7, None)], "doc_id long, domain string")
+    # equal texts are learned from once, and features count from six deviations on: many distinct texts
+    texts = [(i, f"good fine {'nice' if i % 2 else 'well'} day n{i}") for i in range(600)] + [(1000 + i, f"bad *** awful $$$ n{i}") for i in range(300)] + [(2000, None)]
+    labelled = session.createDataFrame([(i, "g") for i in range(0, 600, 2)] + [(1000 + i, "b") for i in range(0, 300, 2)] + [(7, None)], "doc_id long, domain string")
     got = mixed(docs(session, texts), labelled, {"g": 0.8, "b": 0.2}).collect()
     total = [sum(r.mix_tokens * r.mix_rate * r.mix_posteriors[k] for r in got) for k in (0, 1)]
     assert all(r.mix_rate >= 0 for r in got) and abs(total[0] / sum(total) - 0.2) < 0.02
