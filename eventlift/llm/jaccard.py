@@ -14,8 +14,14 @@ the prefix rule exact:
 The boundary is chosen by cost: subsets to enumerate for the sizes below it against list entries
 and the pairs that lists hold for the sizes above it, both summed over all texts.
 
+An entry carries how many shingles its set can share from that key on (``most``).  For two sets
+the first key that they share bounds their intersection by the lesser ``most``, so two entries that
+cannot reach the threshold are no candidate: near copies whose own, rare shingles come first
+in the order are told apart without their texts.
+
 Candidates are verified on the full sets.  Only components are reported, so lists are
-compared in steps: every member with one of its list, three times with different ones, then, in
+compared in steps: every member with one of its list, three times with different ones, at first the
+one with the fewest shingles before the key, which is the middle of a group of near copies; then, in
 lists whose members are still in different components, all members of different components.
 A pair inside one component cannot change the result, so a group of n near copies that the
 first steps join costs n pairs, not n squared.
@@ -43,6 +49,7 @@ FREQUENT_FROM = 16
 CLASSES = 8
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _LIGHT = np.uint64(0xA0761D6478BD642F)
+_ENTRY = ["key", "name", "n", "most"]
 
 
 def need(n: int, percent: int) -> int:
@@ -116,9 +123,9 @@ def boundary(costs: list[tuple[int, int, int]]) -> int:
 
 
 def _poster(size: int, percent: int, frequent: np.ndarray, limit: int):
-    """Second pass: (key, name, n, light) of every list entry and subset."""
+    """Second pass: (key, name, n, most) of every list entry and subset."""
 
-    def entries(own: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+    def entries(own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n = len(own)
         p = n - need(n, percent) + 1
         head = own
@@ -128,46 +135,43 @@ def _poster(size: int, percent: int, frequent: np.ndarray, limit: int):
             last = frequent[at] == own
             head = np.concatenate([own[~last], own[last]]) if last.any() else own
         if n <= limit:
-            few = np.sort(head[: p + 1])
+            few = head[: p + 1]  # in the common order, so a subset has one key in all sets
             i, j = np.triu_indices(len(few), 1)
-            yield mix(few[i] * _PAIR + few[j] + _LIGHT), True
+            yield mix(few[i] * _PAIR + few[j] + _LIGHT), n + 1 - j
         if n > limit or 100 * n >= percent * (limit + 1):
-            yield head[:p], n <= limit
+            yield head[:p], n - np.arange(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names, sizes, seen = [], [], [], set()
+            keys, names, sizes, mosts, seen = [], [], [], [], set()
             for own in shingle_sets(_column(batch, "text"), size):
                 if not len(own) or (name := set_name(own)) in seen:
                     continue
                 seen.add(name)
-                for key, _ in entries(own):
+                for key, most in entries(own):
                     keys.append(key)
+                    mosts.append(most.astype(np.int32))
                     names.append(np.full(len(key), name, np.int64))
                     sizes.append(np.full(len(key), len(own), np.int32))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes))], names=["key", "name", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(mosts))], names=_ENTRY)
 
     return run
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From entries in order of (key, name): those of lists with two different sets at least, with the first of the list."""
-    held = np.zeros((4, 0), np.int64)  # the last entry of the batch before: key, name, n and its list's first
+    """From entries in order of (key, name): those of lists with two different sets at least."""
+    held = np.zeros((4, 0), np.int64)  # the last entry of the batch before
     open_list = False
     for batch in batches:
-        key, name, n = (_column(batch, c).to_numpy().astype(np.int64) for c in ("key", "name", "n"))
-        if not len(key):
+        entries = np.array([_column(batch, c).to_numpy() for c in _ENTRY], np.int64)
+        if not entries.shape[1]:
             continue
         carried = held.shape[1]
-        if carried:
-            key, name, n = np.append(held[0], key), np.append(held[1], name), np.append(held[2], n)
+        entries = np.concatenate([held, entries], axis=1)
+        key, name = entries[:2]
         fresh = np.append(True, (key[1:] != key[:-1]) | (name[1:] != name[:-1]))
-        first_of = np.append(True, key[1:] != key[:-1])
-        starts = np.flatnonzero(first_of)
-        first = np.repeat(name[starts], np.diff(np.append(starts, len(key))))
-        if carried:
-            first[: starts[1] if len(starts) > 1 else len(key)] = held[3][0]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         members = np.add.reduceat(fresh.astype(np.int64), starts)
         long_list = members > 1
         if carried and open_list:
@@ -175,13 +179,13 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = fresh & np.repeat(long_list, np.diff(np.append(starts, len(key))))
         if carried and open_list:
             keep[0] = False  # written with its own batch
-        # the carried entry of a list that only now has a second member is written here
-        held = np.array([[key[-1]], [name[-1]], [n[-1]], [first[-1]]])
+        # an entry carried over is written once its list has a second member
+        held = entries[:, -1:]
         open_list = bool(long_list[-1])
         if not open_list:
             keep[-1] = False
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, name, n, first)], names=["key", "name", "n", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]).cast(t) for x, t in zip(entries, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=_ENTRY)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,9 +255,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     frequent = np.sort(frequent.view(np.uint64))
     limit = boundary(costs)
 
-    entries = texts.select("text").mapInArrow(_poster(size, percent, frequent, limit), "key long, name long, n int")
+    entries = texts.select("text").mapInArrow(_poster(size, percent, frequent, limit), "key long, name long, n int, most int")
     entries = entries.repartition(width(spark), "key").sortWithinPartitions("key", "name")
-    lists = written(entries.mapInArrow(_lists, "key long, name long, n long, first long"), "jaccard-lists")
+    lists = written(entries.mapInArrow(_lists, "key long, name long, n int, most int"), "jaccard-lists")
 
     wanted = members.join(lists.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("id"))
     # a repeated doc_id may bring a text twice or one that nobody asked for, which adds no link
@@ -267,20 +271,25 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
         return pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(size, percent), "a long, b long")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        return pairs.where(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        reach = f"{100 + percent} * least(ma, mb) >= {percent} * (na + nb)"
+        return pairs.where(f"a <> b AND {reach}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def side(entries: DataFrame, x: str) -> DataFrame:
+        return entries.select("key", F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("most").alias(f"m{x}"), F.col("root").alias(f"r{x}"))
 
     def grouped(found: DataFrame) -> DataFrame:
         """Entries of the lists whose members are in more than one component."""
-        placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
+        placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select(*_ENTRY, F.coalesce("root", "name").alias("root"))
         split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         return written(placed.join(split, "key", "left_semi"), "jaccard-split")
 
     tried, links, found = None, None, None
     placed = lists.withColumn("root", F.col("name"))
     # every member with one of its list, three times over, as long as components differ
-    for pivot in (F.min(F.struct("name", "n", "root")), F.max(F.struct("name", "n", "root")), F.min(F.struct(F.xxhash64("name"), "name", "n", "root"))):
-        one = placed.groupBy("key").agg(pivot.alias("p")).select("key", F.col("p.name").alias("b"), F.col("p.n").alias("nb"), F.col("p.root").alias("rb"))
-        pairs = placed.select("key", F.col("name").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")).join(one, "key").where("ra <> rb")
+    who = F.struct("name", "n", "most", "root")
+    for pivot in (F.min_by(who, F.struct(F.expr("n - most"), "name")), F.max(who), F.min_by(who, F.struct(F.xxhash64("name"), "name"))):
+        one = side(placed.groupBy("key").agg(pivot.alias("p")).select("key", "p.*"), "b")
+        pairs = side(placed, "a").join(one, "key").where("ra <> rb")
         pairs = alike(pairs)
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-stars")
         linked = written(verified(pairs), "jaccard-links")
@@ -290,9 +299,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
         placed = grouped(found)
 
     # what is still apart, each with each of another component
-    left = placed.select("key", F.col("name").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = placed.select("key", F.col("name").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = alike(left.join(right, "key").where("a < b AND ra <> rb")).join(tried, ["a", "b"], "left_anti")
+    rest = alike(side(placed, "a").join(side(placed, "b"), "key").where("a < b AND ra <> rb")).join(tried, ["a", "b"], "left_anti")
     more = written(verified(rest), "jaccard-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
