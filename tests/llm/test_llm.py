@@ -247,6 +247,28 @@ def test_repeated_passages(session):
     assert got == {(20, 0, 81, 10, 100), (40, 0, 80, 10, 100)}
 
 
+def test_repeated_passages_recall(session):
+    rng = np.random.default_rng(8)
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    rows, at = [], {}
+    for k, every in enumerate((20, 14, 10, 7)):  # one changed word of so many, evenly: 95, 93, 90 and 86 %
+        for i in range(25):
+            shared, doc = words(60), 1000 * k + 2 * i
+            changed = [f"c{rng.integers(10**6)}" if j % every == every // 2 else w for j, w in enumerate(shared)]
+            rows += [(doc, words(30) + shared + words(30)), (doc + 1, words(20) + changed + words(20))]
+            at[doc + 1] = k
+    for k, share in enumerate((0.85, 0.8), 4):  # changed words at random places
+        for i in range(25):
+            shared, doc = words(100), 1000 * k + 2 * i
+            changed = [w if rng.random() < share else f"c{rng.integers(10**6)}" for w in shared]
+            rows += [(doc, words(30) + shared + words(30)), (doc + 1, words(20) + changed + words(20))]
+            at[doc + 1] = k
+    found = passages.repeated_passages(docs(session, [(d, " ".join(w)) for d, w in rows])).collect()
+    got = {r.doc_id for r in found if r.of_doc_id == r.doc_id - 1 and r.similarity >= 0.75}
+    recall = [sum(d in got for d, j in at.items() if j == k) / 25 for k in range(6)]
+    assert recall[:4] == [1, 1, 1, 1] and min(recall[4:]) >= 0.9, recall
+
+
 def test_mixing_meets_targets(session):
     # equal texts are learned from once, and features count from six deviations on: many distinct texts
     texts = [(i, f"good fine {'nice' if i % 2 else 'well'} day n{i}") for i in range(600)] + [(1000 + i, f"bad *** awful $$$ n{i}") for i in range(300)] + [(2000, None)]
