@@ -247,6 +247,21 @@ def test_repeated_passages(session):
     assert got == {(20, 0, 81, 10, 100), (40, 0, 80, 10, 100)}
 
 
+def test_repeated_passages_of_parts_first_seen_elsewhere(session):
+    rng = np.random.default_rng(7)
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    rows, want = [], set()
+    for i in range(40):
+        one, two = words(30), words(30)
+        rows += [(1000 + i, words(20) + one + words(20)), (2000 + i, two + words(30)), (3000 + i, words(40) + one + two + words(9)), (4000 + i, words(11) + one + two + words(40))]
+        want.add((4000 + i, 3000 + i))
+    parts = [words(20) for _ in range(3)]  # the first two and the last two together in earlier texts
+    rows += [(100, words(9) + parts[0] + parts[1]), (101, parts[1] + parts[2] + words(9)), (102, words(5) + sum(parts, []) + words(5)), (103, sum(parts, []))]
+    found = passages.repeated_passages(docs(session, [(d, " ".join(w)) for d, w in rows])).collect()
+    got = {(r.doc_id, r.of_doc_id) for r in found if r.n_words >= 60}
+    assert got == want | {(103, 102)}
+
+
 def test_repeated_passages_recall(session):
     rng = np.random.default_rng(8)
     words = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
