@@ -210,6 +210,19 @@ def test_main_text(session):
     assert got == {1: "T & U\none two\nthree four", 2: "T & U\n1 two\nthree four", 3: "", 4: "plain text", 5: "off template"}
 
 
+def test_main_text_keeps_articles_in_listed_names(session):
+    pages = [
+        '<html><body class="has-sidebar single-comment nav-open"><div style="overflow:hidden">one</div></body></html>',
+        '<html class="nav-open"><body><article id="related-work"><p class="overflow-hidden">two</p></article><footer>f</footer></body></html>',
+        '<body><div aria-hidden="false" title="hidden">three</div><p hidden>no</p><p aria-hidden="true">no</p><p HIDDEN="">no</p></body>',
+        '<body><div class="page header-fixed"><p>four</p></div></body>',
+        '<body><main><p>five</p><div class="sidebar">no</div></main></body>',
+    ]
+    rows = [(i, f"http://h{i}/", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in template.main_texts(session.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "one", 1: "two", 2: "three", 3: "four", 4: "five"}
+
+
 def test_reply_order(session):
     rows = [
         (1, 0, "user", "Hello  world\nsecond line"),
