@@ -54,35 +54,45 @@ def linked(messages: DataFrame) -> DataFrame:
     said = own.select(*_KEY, F.explode(F.concat(F.array(F.regexp_replace("own", "\n", " ")), F.split("own", "\n"))).alias("line"))
     said = said.select(*_KEY, F.xxhash64(normalised(F.col("line"))).alias("hash")).join(found.select("hash").distinct(), "hash", "left_semi")
     here = said.groupBy("conv_id", "hash").agg(F.min("turn").alias("here"))
-    anywhere = said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    joined = found.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
-    source = F.when(F.col("here") < F.col("turn"), F.struct(F.col("conv_id"), F.col("here").alias("turn"))).when(F.col("first.conv_id") != F.col("conv_id"), F.col("first"))
+    anywhere = here.groupBy("hash").agg(F.min(F.struct("conv_id", F.col("here").alias("turn"))).alias("first"))
+    # the earliest of the conversations besides the first one's, for quotes in that conversation itself
+    others = here.join(anywhere, "hash").where(F.col("conv_id") != F.col("first.conv_id")).groupBy("hash").agg(F.min(F.struct("conv_id", F.col("here").alias("turn"))).alias("next"))
+    joined = found.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left").join(others, "hash", "left")
+    source = F.when(F.col("here") < F.col("turn"), F.struct(F.col("conv_id"), F.col("here").alias("turn"))).when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("next"))
     joined = joined.withColumn("source", source).where("source IS NOT NULL")
     best = joined.groupBy(*_KEY, "place", "level").agg(F.min(F.struct("rank", "source")).alias("best"))
     return best.select(*_KEY, "place", "level", F.col("best.source.conv_id").alias("from_conv"), F.col("best.source.turn").alias("from_turn"))
 
 
-def threads(links: DataFrame) -> DataFrame:
-    """(conv_id, turn, thread_conv, thread_turn, depth) from one row a message with to_conv and to_turn, null at a start.
+def threads(links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(conv_id, turn, thread_conv, thread_turn, depth) from one row a message with to_conv and to_turn, null at a start; and the smallest message (conv_id, turn) of every cycle.
+
+    The latter is None where there is no cycle; where there is one, the former lacks what leads to it.
 
     Every round doubles how far each message sees, so there are as many as the logarithm of the
-    longest chain; a round is one join on a unique key and a written table.  Messages on
-    a cycle, which quotes over conversations could form, are left with the smallest message of it as
-    their start.
+    longest chain; a round is one join on a unique key and a written table.  A round that ends no
+    message leaves only those that lead to cycles; once they see as far as there are of them, what
+    they see is all of the cycles' messages, and the smallest that those met on their way is their cycle's.
     """
     state = written(
-        links.select(*_KEY, F.coalesce("to_conv", "conv_id").alias("at_conv"), F.when(F.col("to_conv").isNull(), F.col("turn")).otherwise(F.col("to_turn")).alias("at_turn"), F.col("to_conv").isNotNull().cast("long").alias("depth"), F.col("to_conv").isNull().alias("done")),
+        links.select(*_KEY, F.coalesce("to_conv", "conv_id").alias("at_conv"), F.when(F.col("to_conv").isNull(), F.col("turn")).otherwise(F.col("to_turn")).alias("at_turn"), F.col("to_conv").isNotNull().cast("long").alias("depth"), F.col("to_conv").isNull().alias("done"), F.struct(*_KEY).alias("least")),
         "quotes-state",
     )
-    for _ in range(64):
+    last, seen, cycles = None, 1, None
+    while True:
         open_rows = state.where("NOT done")
         left = open_rows.count()
         if not left:
             break
-        ahead = state.select(F.col("conv_id").alias("at_conv"), F.col("turn").alias("at_turn"), F.col("at_conv").alias("c"), F.col("at_turn").alias("t"), F.col("depth").alias("d"), F.col("done").alias("z"))
-        moved = open_rows.join(ahead, ["at_conv", "at_turn"]).select(*_KEY, F.col("c").alias("at_conv"), F.col("t").alias("at_turn"), (F.col("depth") + F.col("d")).alias("depth"), F.col("z").alias("done"))
+        if left == last and seen >= left:
+            met = open_rows.select(F.col("at_conv").alias("conv_id"), F.col("at_turn").alias("turn")).distinct()
+            cycles = open_rows.join(met, _KEY, "left_semi").select("least.*").distinct()
+            break
+        last, seen = left, 2 * seen
+        ahead = state.select(F.col("conv_id").alias("at_conv"), F.col("turn").alias("at_turn"), F.col("at_conv").alias("c"), F.col("at_turn").alias("t"), F.col("depth").alias("d"), F.col("done").alias("z"), F.col("least").alias("l"))
+        moved = open_rows.join(ahead, ["at_conv", "at_turn"]).select(*_KEY, F.col("c").alias("at_conv"), F.col("t").alias("at_turn"), (F.col("depth") + F.col("d")).alias("depth"), F.col("z").alias("done"), F.least("least", "l").alias("least"))
         state = written(state.where("done").unionByName(moved), "quotes-state")
-    return state.select(*_KEY, F.col("at_conv").alias("thread_conv"), F.col("at_turn").alias("thread_turn"), "depth")
+    return state.where("done").select(*_KEY, F.col("at_conv").alias("thread_conv"), F.col("at_turn").alias("thread_turn"), "depth"), cycles
 
 
 def reply_ordered(conversations: DataFrame) -> DataFrame:
@@ -93,13 +103,13 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     thread_turn and depth.  In order of (thread_conv, thread_turn, depth, conv_id, turn) every
     message comes after the one it replies to.  Rows that share conv_id and turn are one place in
     the order and stay separate rows; a row without either of the two replies to nothing and
-    starts a thread of its own.  A null text is empty.  A quote cannot lead forward, into a later
-    turn of its conversation or a later conv_id, so links form no cycle.
+    starts a thread of its own.  A null text is empty.  A quote cannot lead forward in its
+    conversation, but to any other one; where links form a cycle, its smallest message replies to nothing and starts the thread.
     """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("own", own_text(F.col("text")))
     placed = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    found = written(linked(placed).where("from_conv <= conv_id"), "quotes-links")
+    found = written(linked(placed), "quotes-links")
     quoted = passages(placed).groupBy(*_KEY).agg(F.count("*").alias("n_quotes"))
     chosen = found.groupBy(*_KEY).agg(F.count("*").alias("n_linked"), F.min(F.struct("level", "place", "from_conv", "from_turn")).alias("first"))
     keys = placed.select(*_KEY).distinct()
@@ -113,7 +123,12 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
         F.when(F.col("first").isNotNull(), F.col("first.from_turn")).when(F.col("follows"), F.col("turn") - 1).alias("to_turn"),
     )
     links = written(links, "quotes-replies")
-    order = links.join(threads(links), _KEY).withColumnsRenamed({"to_conv": "reply_conv", "to_turn": "reply_turn"})
+    found, cycles = threads(links)
+    if cycles is not None:
+        cut = links.join(cycles.withColumn("cut", F.lit(True)), _KEY, "left")
+        links = written(cut.withColumns({c: F.when(F.col("cut").isNull(), F.col(c)) for c in ("to_conv", "to_turn")}).drop("cut"), "quotes-replies")
+        found, _ = threads(links)
+    order = links.join(found, _KEY).withColumnsRenamed({"to_conv": "reply_conv", "to_turn": "reply_turn"})
     out = rows.join(order, _KEY, "left")
     return out.select(
         *_KEY, "role", F.col("own").alias("text"),

@@ -248,6 +248,39 @@ def test_reply_order(session):
     assert got[1, 3].text == "ok" and got[1, 3].n_quotes == 2 and got[1, 3].n_linked == 2 and got[3, 5].n_linked == 0
 
 
+def test_reply_order_links_to_later_conversations_and_breaks_cycles(session):
+    rows = [
+        (1, 0, "user", "> only there\nfirst"),
+        (2, 0, "user", "nothing"),
+        (2, 1, "user", "only there"),
+        # a cycle of four: each first turn quotes the other conversation's second
+        (3, 0, "user", "> yes four\na"),
+        (3, 1, "user", "yes three"),
+        (4, 0, "user", "> yes three\nb"),
+        (4, 1, "user", "yes four"),
+        (4, 2, "user", "leads to the cycle"),
+        # said later in the own conversation, earlier in a later one
+        (5, 0, "user", "> common words\nc"),
+        (5, 1, "user", "common words"),
+        (6, 0, "user", "common words"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in reply_ordered(session.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k: (r.reply_conv, r.reply_turn, r.thread_conv, r.thread_turn, r.depth) for k, r in got.items()} == {
+        (1, 0): (2, 1, 2, 0, 2),
+        (2, 0): (None, None, 2, 0, 0),
+        (2, 1): (2, 0, 2, 0, 1),
+        (3, 0): (None, None, 3, 0, 0),
+        (3, 1): (3, 0, 3, 0, 1),
+        (4, 0): (3, 1, 3, 0, 2),
+        (4, 1): (4, 0, 3, 0, 3),
+        (4, 2): (4, 1, 3, 0, 4),
+        (5, 0): (6, 0, 6, 0, 1),
+        (5, 1): (5, 0, 6, 0, 2),
+        (6, 0): (None, None, 6, 0, 0),
+    }
+    assert got[1, 0].n_linked == got[3, 0].n_linked == got[4, 0].n_linked == got[5, 0].n_linked == 1
+
+
 def test_repeated_passages(session):
     rng = np.random.default_rng(4)
     words = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
