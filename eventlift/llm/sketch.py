@@ -24,7 +24,7 @@ from eventlift.llm.shingles import shingle_sets
 from eventlift.llm.tables import width, written
 
 #: A sketch keeps one of so many hashes.
-SCALE = 16
+SCALE = 4
 FLOOR = 8
 _TOP = (1 << 64) - 1
 
@@ -56,17 +56,18 @@ class Sketch:
         both = np.unique(np.concatenate([self.hashes, other.hashes]))
         return Sketch(both[both <= np.uint64(covered)], covered)
 
-    def containment(self, other: Sketch) -> float:
+    def containment(self, other: Sketch, least: int = 1) -> float | None:
         """Estimated share of the smaller text's shingles that the larger has, 0 to 1.
 
+        None where one of the two has fewer than ``least`` hashes in the range that both cover, unless both cover all.
         Two texts without shingles count as equal, one of them against others as different.
         """
         covered = np.uint64(min(self.covered, other.covered))
         mine, theirs = self.hashes[self.hashes <= covered], other.hashes[other.hashes <= covered]
         if not len(self.hashes) or not len(other.hashes):
             return float(len(self.hashes) == len(other.hashes))
-        if not len(mine) or not len(theirs):
-            return 0.0
+        if min(len(mine), len(theirs)) < least and covered < np.uint64(_TOP):
+            return None
         return len(np.intersect1d(mine, theirs, assume_unique=True)) / min(len(mine), len(theirs))
 
     def __bytes__(self) -> bytes:
@@ -76,6 +77,12 @@ class Sketch:
         return bytes(self).hex()
 
 
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Containment from the sketches of two sets of distinct hashes, or from all hashes where those have too few in common range."""
+    found = Sketch.of(a).containment(Sketch.of(b), FLOOR)
+    return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b)) if found is None else found
+
+
 def edited(text: str, after: str) -> str:
     """The text with its last third replaced by as many first code points of another."""
     n = len(text) // 3
@@ -88,9 +95,9 @@ _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 
 def _compared(ids: list, texts: list[str], afters: list[str]) -> list[list]:
     changed = [edited(t, a) for t, a in zip(texts, afters)]
-    own = [Sketch.of(s) for s in shingle_sets(pa.array(texts, pa.string()))]
-    theirs = own[1:] + [Sketch.of(s) for s in shingle_sets(pa.array(afters[-1:], pa.string()))] if texts[1:] == afters[:-1] else [Sketch.of(s) for s in shingle_sets(pa.array(afters, pa.string()))]
-    new = [Sketch.of(s) for s in shingle_sets(pa.array(changed, pa.string()))]
+    own = list(shingle_sets(pa.array(texts, pa.string())))
+    theirs = own[1:] + list(shingle_sets(pa.array(afters[-1:], pa.string()))) if texts[1:] == afters[:-1] else list(shingle_sets(pa.array(afters, pa.string())))
+    new = list(shingle_sets(pa.array(changed, pa.string())))
     sha = [hashlib.sha256(c.encode()).hexdigest() for c in changed]
     return [
         [0] * len(ids),
@@ -98,10 +105,10 @@ def _compared(ids: list, texts: list[str], afters: list[str]) -> list[list]:
         ids,
         [len(t) for t in texts],
         sha,
-        [bytes(s) for s in own],
-        [bytes(s) for s in new],
-        [a.containment(b) for a, b in zip(own, new)],
-        [a.containment(b) for a, b in zip(own, theirs)],
+        [bytes(Sketch.of(s)) for s in own],
+        [bytes(Sketch.of(s)) for s in new],
+        [likeness(a, b) for a, b in zip(own, new)],
+        [likeness(a, b) for a, b in zip(own, theirs)],
         [None] * len(ids),
     ]
 

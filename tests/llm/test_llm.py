@@ -135,6 +135,23 @@ def test_sketches_merge_and_estimate():
     assert abs(sketch.Sketch.of(a).containment(sketch.Sketch.of(np.unique(np.concatenate([a[::2], b])))) - 0.95) < 0.05
 
 
+def test_short_texts_contained_in_long_ones():
+    rng = np.random.default_rng(5)
+    distinct = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * 2)
+    estimated = 0
+    for n in (3, 8, 20, 50):
+        for _ in range(30):
+            short, rest = distinct(n), distinct(20_000)
+            long = np.unique(np.concatenate([short, rest]))
+            assert sketch.Sketch.of(short).containment(sketch.Sketch.of(long)) in (None, 1.0)
+            estimated += n == 20 and sketch.Sketch.of(short).containment(sketch.Sketch.of(long)) is not None
+            assert sketch.likeness(short, long) == sketch.likeness(long, short) == 1.0
+            half = np.unique(np.concatenate([short[::2], rest]))
+            assert abs(sketch.likeness(short, half) - len(short[::2]) / len(short)) < (0.5 if n > 30 else 0.75)
+        assert sketch.likeness(short, rest) == 0.0
+    assert estimated >= 28
+
+
 def test_suffix_automaton_follows_all_substrings_only():
     text = np.array([1, 2, 1, 1, 2, 3, 2, 1, 2], np.uint8)
     to = langid.suffix_automaton(text)
