@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventlift.llm.decontaminate import benchmark_hits
 from eventlift.llm.jaccard import jaccard_components
 from eventlift.llm.langid import predict_language
+from eventlift.llm.lexical import RANKED_SQL, ranked
 from eventlift.llm.mixing import domains, mixed
 from eventlift.llm.passages import repeated_passages
 from eventlift.llm.quotes import reply_ordered
@@ -19,6 +20,7 @@ from eventlift.llm.sketch import fingerprints
 from eventlift.llm.tables import table
 from eventlift.llm.template import main_texts
 from eventlift.llm.token_files import token_index
+from eventlift.llm.variants import GROUPS_SQL, spelling_groups
 from eventlift.llm.warc import archived
 
 
@@ -81,7 +83,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
 
 
-_QUERIES = [op1_token_files, op2_jaccard_join, op3_reply_order, op4_language_id, op5_main_text, op6_benchmark_hits, op7_repeated_passages, op8_fingerprints, op9_warc, op10_mixing]
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = [op1_token_files, op2_jaccard_join, op3_reply_order, op4_language_id, op5_main_text, op6_benchmark_hits, op7_repeated_passages, op8_fingerprints, op9_warc, op10_mixing, op12_ranked_search, op13_spelling_groups]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -96,4 +106,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_ranked_search": RANKED_SQL, "op13_spelling_groups": GROUPS_SQL}
