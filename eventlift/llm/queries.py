@@ -17,6 +17,7 @@ from eventlift.llm.passages import repeated_passages
 from eventlift.llm.quotes import reply_ordered
 from eventlift.llm.ship import ship
 from eventlift.llm.sketch import fingerprints
+from eventlift.llm.suffix_tree import scores
 from eventlift.llm.tables import table
 from eventlift.llm.template import main_texts
 from eventlift.llm.token_files import token_index
@@ -83,6 +84,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
 
 
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -91,7 +96,7 @@ def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_token_files, op2_jaccard_join, op3_reply_order, op4_language_id, op5_main_text, op6_benchmark_hits, op7_repeated_passages, op8_fingerprints, op9_warc, op10_mixing, op12_ranked_search, op13_spelling_groups]
+_QUERIES = [op1_token_files, op2_jaccard_join, op3_reply_order, op4_language_id, op5_main_text, op6_benchmark_hits, op7_repeated_passages, op8_fingerprints, op9_warc, op10_mixing, op11_suffix_tree, op12_ranked_search, op13_spelling_groups]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
