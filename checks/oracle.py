@@ -528,6 +528,11 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT event_id, user_id, event_type, {_ts('event_timestamp')}, {_ts('first_processed', 'processed_at')}"
         " FROM once",
     )
+    q["stg_deduped"] = _with(
+        _STG,
+        f"SELECT event_id, user_id, session_id, event_type, {_ts('event_timestamp')}, {_ts('processed_at')}, device_type"
+        " FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY stg.processed_at) AS copy FROM stg) WHERE copy = 1",
+    )
     q["filter_bots"] = _with(
         "", "SELECT event_id, event_type, user_agent FROM raw WHERE user_agent IS NULL OR user_agent NOT LIKE '%bot%'"
     )

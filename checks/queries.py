@@ -26,6 +26,7 @@ from eventlift.operators import (
     sessions,
     users,
 )
+from eventlift.plans import marts
 from eventlift.sources import decode_envelope, encode_envelope, raw_events_from_table
 from eventlift.streaming import aggregates
 
@@ -221,6 +222,13 @@ def dedup_events(spark, sf_dir):
     )
 
 
+def stg_deduped(spark, sf_dir):
+    """Staging as the mart job runs it: filters, then de-duplication, then the flat columns."""
+    return marts.stage(raw(spark, sf_dir), marts.Variables(dedup=True)).select(
+        "event_id", "user_id", "session_id", "event_type", "event_timestamp", "processed_at", "device_type"
+    )
+
+
 def filter_bots(spark, sf_dir):
     return quality.filter_bots(raw(spark, sf_dir)).select(
         "event_id", "event_type", "context.user_agent"
@@ -334,6 +342,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_reasons": lambda s, d: ingest.reject_reasons(validated(s, d)),
     "ingest_totals": lambda s, d: ingest.ingest_totals(validated(s, d)),
     "dedup_events": dedup_events,
+    "stg_deduped": stg_deduped,
     "filter_bots": filter_bots,
     "dq_checks": dq_checks,
     "stg_events": stg,

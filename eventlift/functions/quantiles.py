@@ -68,8 +68,16 @@ def exact_percentile(
         .orderBy("__v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # A null-safe slot: plain equality would push its own null test into one of the two branches only,
+    # and the histogram would be computed, and its input read, twice.
+    wanted = slots.withColumnRenamed("__slot", "__wanted")
+    for k in keys:
+        wanted = wanted.withColumnRenamed(k, f"__of_{k}")
+    met = F.col("__slot").eqNullSafe(F.col("__wanted"))
+    for k in keys:
+        met = met & (F.col(k) == F.col(f"__of_{k}"))
     ranked = (
-        histogram.join(slots, [*keys, "__slot"])
+        histogram.join(wanted, met)
         .withColumn("__end", F.col("__before") + F.sum("__n").over(within_slot))
         .withColumn("__start", F.col("__end") - F.col("__n"))
     )

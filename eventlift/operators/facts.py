@@ -26,17 +26,20 @@ _CONTEXT_KEPT = {
 }
 
 
+def staged_rows(raw: DataFrame, include_bot_traffic: bool = False) -> DataFrame:
+    """Raw rows that staging keeps: all keys present and, unless asked not to, no bots."""
+    # One IS NOT NULL per column, which Parquet can evaluate; dropna() would not push.
+    kept = raw.where(reduce(and_, [F.col(c).isNotNull() for c in _REQUIRED]))
+    return kept if include_bot_traffic else kept.where(is_human(F.col("context.user_agent")))
+
+
 def stg_events(raw: DataFrame, include_bot_traffic: bool = False) -> DataFrame:
     """Flatten raw events, drop rows without keys and, unless asked not to, bots.
 
     A projection and a filter only: the null tests and the column list reach the
     Parquet scan, nested fields included.
     """
-    # One IS NOT NULL per column, which Parquet can evaluate; dropna() would not push.
-    kept = raw.where(reduce(and_, [F.col(c).isNotNull() for c in _REQUIRED]))
-    if not include_bot_traffic:
-        kept = kept.where(is_human(F.col("context.user_agent")))
-    return kept.selectExpr(
+    return staged_rows(raw, include_bot_traffic).selectExpr(
         *_REQUIRED,
         "feature_name",
         "CAST(event_timestamp AS TIMESTAMP) AS event_timestamp",

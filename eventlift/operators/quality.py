@@ -11,26 +11,52 @@ from eventlift import schema
 from eventlift.functions import count_if
 
 
+#: Words of the table of repeated ids: so many rows at most, whatever the input.
+REPEAT_WORDS = 1 << 20
+
+
+def repeated_keys(events: DataFrame, key: str, words: int = REPEAT_WORDS) -> DataFrame:
+    """(word, bits): one bit for the hash of every key that occurs more than once.
+
+    A single-hash Bloom filter as a table.  Only the key column is read, and counted by its 64-bit
+    hash.  The table has ``words`` rows at most, so it may be broadcast.
+    """
+    hashes = events.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        hashes.where("n > 1")
+        .groupBy(F.pmod(F.shiftright("h", 6), F.lit(words)).alias("__word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63 AS INT)))").alias("__bits"))
+    )
+
+
 def dedup_events(
     events: DataFrame,
     key: str = "event_id",
     order: Sequence[str] = ("processed_at", "kafka_timestamp", "received_at"),
+    words: int = REPEAT_WORDS,
 ) -> DataFrame:
     """Keep the earliest processed copy of every event id.
 
-    The ``row_number() = 1`` filter becomes a group limit before the shuffle as well
-    as after it, so a task forwards one row per id at most and an id with a huge
-    number of copies never gathers in one place.  Rows without an id have no copies and
-    pass through unchanged.
+    Few ids repeat, so the repeated ones are searched first, on the key alone (``repeated_keys``); all rows whose
+    key is not among them pass without a shuffle or sort.  The rest is ranked.  A key that only shares a bit with a
+    repeated one is ranked as well and kept, so the filter decides how much is shuffled and never
+    what is returned.  The ``row_number() = 1`` filter becomes a group limit before that shuffle, so a task
+    forwards one row per id at most and an id with a huge number of copies never gathers in one
+    place.  Rows without an id have no copies and pass through unchanged.  Apply row filters
+    before; ``events`` is read three times, once for the key alone.
     """
+    word = F.pmod(F.shiftright(F.xxhash64(key), 6), F.lit(words))
+    filtered = F.broadcast(repeated_keys(events, key, words))
+    marked = events.withColumn("__key_word", F.when(F.col(key).isNotNull(), word))
+    marked = marked.join(filtered, F.col("__key_word") == F.col("__word"), "left")
+    hit = F.expr(f"getbit(coalesce(__bits, 0L), CAST(xxhash64(`{key}`) & 63 AS INT)) = 1")
     rank = Window.partitionBy(key).orderBy(*[F.col(c) for c in order if c in events.columns])
     earliest = (
-        events.where(F.col(key).isNotNull())
+        marked.where(hit)
         .withColumn("__copy", F.row_number().over(rank))
         .where(F.col("__copy") == 1)
-        .drop("__copy")
     )
-    return earliest.unionByName(events.where(F.col(key).isNull()))
+    return earliest.select(*events.columns).unionByName(marked.where(~hit).select(*events.columns))
 
 
 def dedup_stream(events: DataFrame, watermark: str = "1 hour", key: str = "event_id") -> DataFrame:

@@ -149,52 +149,67 @@ def derive_step_timing(
     session: str = "session_id",
     ts: str = "event_timestamp",
     tie: str = "event_id",
-    slot_seconds: float = 300,
+    range_bits: int = 20,
 ) -> DataFrame:
     """Add ``derived_time_on_step_ms`` and ``derived_total_time_ms`` to every event.
 
     A step event gets the time since the latest step anchor before it in its session, a
-    flow event the time since the latest flow anchor; others get NULL.  Within a slot a
-    window finds the anchor; from earlier slots only the latest anchor is carried over.
+    flow event the time since the latest flow anchor; others, and rows without session or
+    time, get NULL.  Events are in the order of time and ``tie``.
+
+    A segmented prefix scan: the instants of a session (microseconds that hold an anchor or a timed
+    event, however many events) are cut into ranges of ``2 ** range_bits`` microseconds.  Within a range a
+    window finds the latest earlier anchor; one row a range and session is scanned for the
+    anchor carried into each range.  So a window holds ``2 ** range_bits`` narrow rows at most, or the ranges of
+    one session, and a session with a large share of all events is spread over tasks by its time: events
+    meet the result in a join on session and instant.
     """
-    keyed = events.withColumn("__slot", _slot(ts, slot_seconds))
-    anchor = lambda types: F.when(F.col("event_type").isin(types), F.col(ts))
+    kind = F.col("event_type")
+    timed = kind.isin(sorted({*STEP_TIMED, *FLOW_TIMED}))
+    located = F.col(session).isNotNull() & F.col(ts).isNotNull()
+    tie_of = lambda types: F.min(F.when(kind.isin(types), F.col(tie)))
+    instants = (
+        events.where(located & (timed | kind.isin(STEP_ANCHORS)))
+        .groupBy(F.col(session).alias("__session"), F.unix_micros(ts).alias("__at"))
+        .agg(tie_of(STEP_ANCHORS).alias("__step_tie"), tie_of(FLOW_ANCHORS).alias("__flow_tie"))
+        .withColumn("__range", F.shiftright("__at", range_bits))
+    )
+    latest = lambda tie_column: F.max(F.when(F.col(tie_column).isNotNull(), F.col("__at")))
+    within = Window.partitionBy("__session", "__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    scanned = instants.withColumns(
+        {"__step_from": latest("__step_tie").over(within), "__flow_from": latest("__flow_tie").over(within)}
+    )
+    before = Window.partitionBy("__session").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        instants.groupBy("__session", "__range")
+        .agg(latest("__step_tie").alias("__s"), latest("__flow_tie").alias("__f"))
+        .select(
+            "__session",
+            "__range",
+            F.max("__s").over(before).alias("__step_carried"),
+            F.max("__f").over(before).alias("__flow_carried"),
+        )
+    )
+    anchors = scanned.join(carried, ["__session", "__range"]).select(
+        "__session",
+        "__at",
+        "__step_tie",
+        "__flow_tie",
+        F.coalesce("__step_from", "__step_carried").alias("__step_from"),
+        F.coalesce("__flow_from", "__flow_carried").alias("__flow_from"),
+    )
 
-    slots = (
-        keyed.where(F.col(session).isNotNull() & F.col("__slot").isNotNull())
-        .groupBy(session, "__slot")
-        .agg(F.max(anchor(STEP_ANCHORS)).alias("__s"), F.max(anchor(FLOW_ANCHORS)).alias("__f"))
-    )
-    earlier = (
-        Window.partitionBy(session).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = slots.select(
-        session,
-        "__slot",
-        F.max("__s").over(earlier).alias("__carried_s"),
-        F.max("__f").over(earlier).alias("__carried_f"),
-    )
-    before = (
-        Window.partitionBy(session, "__slot")
-        .orderBy(ts, tie)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    located = keyed.withColumns(
-        {
-            "__own_s": F.max(anchor(STEP_ANCHORS)).over(before),
-            "__own_f": F.max(anchor(FLOW_ANCHORS)).over(before),
-        }
-    ).join(carried, [session, "__slot"], "left")
-
-    def elapsed(types, own: str, from_slots: str) -> Column:
-        since = F.unix_micros(F.coalesce(own, from_slots))
+    def elapsed(types, anchor: str) -> Column:
+        # an anchor of the same instant counts where it comes first
+        since = F.when(F.col(f"__{anchor}_tie") < F.col(tie), F.col("__at")).otherwise(F.col(f"__{anchor}_from"))
         millis = F.floor((F.unix_micros(ts) - since) / F.lit(1000))
-        return F.when(F.col("event_type").isin(types), millis)
+        return F.when(kind.isin(types), millis)
 
-    return located.select(
+    met = (F.col(session) == F.col("__session")) & (F.unix_micros(ts) == F.col("__at"))
+    return events.join(anchors, met, "left").select(
         *events.columns,
-        elapsed(STEP_TIMED, "__own_s", "__carried_s").alias("derived_time_on_step_ms"),
-        elapsed(FLOW_TIMED, "__own_f", "__carried_f").alias("derived_total_time_ms"),
+        elapsed(STEP_TIMED, "step").alias("derived_time_on_step_ms"),
+        elapsed(FLOW_TIMED, "flow").alias("derived_total_time_ms"),
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventlift.operators.activity import activity_rollup
 from eventlift.operators.engagement import engagement_metrics, engagement_window
-from eventlift.operators.facts import fact_events, stg_events
+from eventlift.operators.facts import fact_events, staged_rows, stg_events
 from eventlift.operators.funnel import funnel_analysis
 from eventlift.operators.quality import dedup_events
 from eventlift.operators.retention import retention_comparison, retention_within
@@ -44,9 +44,14 @@ class Variables:
 
 
 def stage(raw: DataFrame, variables: Variables = Variables()) -> DataFrame:
-    """Raw rows to the staging view, redeliveries removed when asked."""
-    source = dedup_events(raw) if variables.dedup else raw
-    return stg_events(source, variables.include_bot_traffic)
+    """Raw rows to the staging view, redeliveries removed when asked.
+
+    The earliest copy is chosen among the rows that staging keeps, so rows it drops are never shuffled.
+    """
+    if not variables.dedup:
+        return stg_events(raw, variables.include_bot_traffic)
+    once = dedup_events(staged_rows(raw, variables.include_bot_traffic))
+    return stg_events(once, include_bot_traffic=True)
 
 
 def _write(

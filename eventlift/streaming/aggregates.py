@@ -12,7 +12,7 @@ The second step groups by the same window column, so both follow one watermark.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlift import schema
@@ -170,15 +170,63 @@ def stream_funnel(
 def active_users(
     events: DataFrame, width: str = "5 minutes", slide: str = "1 minute", watermark: str = "5 minutes"
 ) -> DataFrame:
-    """Distinct users in the trailing ``width``, every ``slide``."""
-    per_user = (
-        _timed(events, watermark)
-        .where(F.col("user_id").isNotNull())
-        .groupBy(F.window(TIME, width, slide).alias("w"), "user_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Distinct users in the trailing ``width``, every ``slide``; windows without users have no row.
+
+    ``width`` must be a whole number of slides.  Raw events are never multiplied: they are first
+    reduced to distinct (slide, user).  A static frame is then swept: a user's slide opens
+    the windows that end with it and closes them where the user's next slide takes over, which is +1 at one window
+    and -1 at another, and a running sum over windows gives the counts.  The sum runs within days, on
+    top of the sum of the days before, so no task holds more than a day of windows.  On a stream the
+    distinct pairs go through the sliding window, with state per window and user.
+    """
+    known = _timed(events, watermark).where(F.col("user_id").isNotNull())
+    if events.isStreaming:
+        pairs = known.groupBy(F.window(TIME, slide).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+        pairs = pairs.select(F.window_time("s").alias("at"), "user_id")
+        per_user = pairs.groupBy(F.window("at", width, slide).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+        return _bounds(per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users")), "active_users")
+
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp")
+    micros = lambda interval: F.unix_micros(epoch + F.expr(f"INTERVAL {interval}")) - F.unix_micros(epoch)
+    unit = micros(slide)
+    slides = F.when(micros(width) % unit == 0, F.expr("__width DIV __unit")).otherwise(
+        F.raise_error(F.lit("width must be a whole number of slides"))
+    )
+    pairs = known.where(F.col(TIME).isNotNull()).groupBy(F.floor(F.unix_micros(TIME) / unit).alias("at"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    later = F.lead("at").over(Window.partitionBy("user_id").orderBy("at"))
+    spans = (
+        pairs.select("at", later.alias("later"), unit.alias("__unit"), micros(width).alias("__width"))
+        .withColumn("n", slides)
+        .select((F.col("at") - F.col("n") + 1).alias("start"), F.least(F.col("at") + 1, F.col("later") - F.col("n") + 1).alias("stop"))
+    )
+    changes = (
+        spans.select(F.inline(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("change")), F.struct(F.col("stop").alias("at"), F.lit(-1).alias("change")))))
+        .groupBy("at")
+        .agg(F.sum("change").alias("change"))
+        .withColumn("part", F.expr("at DIV 1440"))
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    carried = changes.groupBy("part").agg(F.sum("change").alias("total"), F.min("at").alias("first")).select(
+        "part",
+        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("carried"),
+        F.lead("first").over(Window.orderBy("part")).alias("next_first"),
+    )
+    own = Window.partitionBy("part").orderBy("at")
+    counts = (
+        changes.join(carried, "part")
+        .select(
+            "at",
+            (F.col("carried") + F.sum("change").over(own)).alias("active_users"),
+            F.coalesce(F.lead("at").over(own), "next_first").alias("until"),
+        )
+        .where("active_users > 0")
+        .select(F.explode(F.sequence("at", F.col("until") - 1)).alias("at"), "active_users")
+    )
+    return counts.select(
+        F.timestamp_micros(F.col("at") * unit).alias("window_start"),
+        F.timestamp_micros(F.col("at") * unit + micros(width)).alias("window_end"),
+        "active_users",
     )
-    counts = per_user.groupBy("w").agg(F.count(F.lit(1)).alias("active_users"))
-    return _bounds(counts, "active_users")
 
 
 def events_per_minute(events: DataFrame, watermark: str = "5 minutes") -> DataFrame:

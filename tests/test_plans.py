@@ -158,3 +158,12 @@ def test_undeclared_device_counts_as_unknown(raw_frame):
     rows = [event(session=f"s{i}", context={"device_type": d}) for i, d in enumerate(devices)]
     found = {r.device_type: r.sessions for r in serving.device_distribution(fact_events(stg_events(raw_frame(rows)))).collect()}
     assert found == {"desktop": 1, "unknown": 3}
+
+
+def test_latency_percentile_reads_its_input_once(spark, lake):
+    from eventlift.operators.health import ingest_latency
+
+    latency = ingest_latency(read_raw_lake(spark, lake))
+    latency.collect()
+    plan = plan_of(latency).partition("== Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1

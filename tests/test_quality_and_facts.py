@@ -29,6 +29,32 @@ def test_dedup_keeps_earliest_and_is_idempotent(raw_frame):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_dedup_does_not_depend_on_the_filter(raw_frame):
+    rows = [event(event_id=f"e{i % 40}", user=f"u{i}", processed_at=at(f"10:{59 - i // 2:02d}:{i % 2:02d}")) for i in range(100)]
+    df = raw_frame(rows)
+    want = {}
+    for r in rows:
+        if r["event_id"] not in want or r["processed_at"] < want[r["event_id"]]["processed_at"]:
+            want[r["event_id"]] = r
+    for words in (1, 3, quality.REPEAT_WORDS):
+        got = {r.event_id: r.user_id for r in quality.dedup_events(df, words=words).collect()}
+        assert got == {k: r["user_id"] for k, r in want.items()}
+        assert quality.repeated_keys(df, "event_id", words).count() <= words
+    assert quality.dedup_events(df.limit(0)).count() == 0
+
+
+def test_rows_that_do_not_repeat_are_not_shuffled(raw_frame, spark, tmp_path):
+    rows = [event(event_id=f"e{i}") for i in range(500)] + [event(event_id="e7")]
+    raw_frame(rows).write.parquet(str(tmp_path / "raw"))
+    once = quality.dedup_events(facts.staged_rows(spark.read.parquet(str(tmp_path / "raw"))))
+    assert once.count() == 500
+    plan = plan_of(once).lower()
+    below = plan[plan.index("window [row_number") :]
+    assert below.index("exchange hashpartitioning(event_id") < below.index("contains(")  # bots go below the exchange
+    # the only rows sorted are those that share a bit with a repeated id
+    assert plan.count("sort [event_id") == 2 and plan.count("exchange hashpartitioning(event_id") == 1
+
+
 def test_dq_checks(raw_frame):
     rows = [
         event(event_id="a"),

@@ -78,12 +78,12 @@ def test_step_timing_by_hand(stg_of):
     assert [r["derived_total_time_ms"] for r in out] == [None] * 6 + [1_790_000, 3_590_000]
 
 
-@pytest.mark.parametrize("slot", [1, 60, 300, 100_000])
-def test_step_timing_against_a_plain_scan(stg_of, slot):
+@pytest.mark.parametrize("bits", [10, 20, 28, 40])
+def test_step_timing_against_a_plain_scan(stg_of, bits):
     rng = random.Random(3)
     rows = [
-        event(user="u", session=rng.choice("aab"), kind=rng.choice(schema.EVENT_TYPES), time=at("08:00:00") + dt.timedelta(milliseconds=rng.randrange(0, 4_000_000)))
-        for _ in range(200)
+        event(user="u", session=rng.choice("aab"), kind=rng.choice(schema.EVENT_TYPES), time=at("08:00:00") + dt.timedelta(milliseconds=rng.choice([rng.randrange(0, 4_000_000), 5000, 5001])))
+        for _ in range(300)
     ]
     expected, clocks = {}, {}
     for r in sorted(rows, key=lambda r: (r["event_timestamp"], r["event_id"])):
@@ -99,10 +99,39 @@ def test_step_timing_against_a_plain_scan(stg_of, slot):
         if kind in sessions.FLOW_ANCHORS:
             flow = now
         clocks[r["session_id"]] = (step, flow)
-    out = sessions.derive_step_timing(stg_of(rows), slot_seconds=slot).collect()
+    out = sessions.derive_step_timing(stg_of(rows), range_bits=bits).collect()
     assert {r.event_id: (r.derived_time_on_step_ms, r.derived_total_time_ms) for r in out} == expected
 
 
+def test_one_hot_session_is_spread_over_tasks(spark):
+    """A session with a third of all rows within one minute: no task holds much more of the join than another."""
+    kinds = F.element_at(F.array(*[F.lit(k) for k in schema.EVENT_TYPES]), (F.col("id") % len(schema.EVENT_TYPES) + 1).cast("int"))
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 500)).alias("session_id"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 1000).alias("event_timestamp"),
+        F.col("id").cast("string").alias("event_id"),
+        kinds.alias("event_type"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = sorted(r["n"] for r in sessions.derive_step_timing(rows).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 4 and sizes[-1] <= 1.2 * sizes[0]
+
+
+def test_events_without_session_or_time_get_no_timing(stg_of, spark):
+    rows = [event(session="s", kind="quiz_started"), event(session="s", kind="question_viewed", time="10:00:05")]
+    df = stg_of(rows)
+    odd = df.withColumn("session_id", F.lit(None).cast("string")).unionByName(df.withColumn("event_timestamp", F.lit(None).cast("timestamp")))
+    out = sessions.derive_step_timing(df.unionByName(odd)).collect()
+    assert len(out) == 6 and sorted(r.derived_time_on_step_ms or 0 for r in out) == [0] * 5 + [5000]
+    assert sessions.derive_step_timing(df.limit(0)).count() == 0
+
+
 def test_device_classes(spark):
     agents = {
         "Android 10 Mobile": "mobile",
