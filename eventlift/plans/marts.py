@@ -17,14 +17,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlift.operators import serving
 from eventlift.operators.activity import activity_rollup
 from eventlift.operators.engagement import engagement_metrics, engagement_window
 from eventlift.operators.facts import fact_events, staged_rows, stg_events
-from eventlift.operators.funnel import funnel_analysis
+from eventlift.operators.funnel import funnel_analysis, funnel_long
 from eventlift.operators.quality import dedup_events
 from eventlift.operators.retention import retention_comparison, retention_within
 from eventlift.operators.sessions import quality_sessions
 from eventlift.operators.users import dim_users
+from eventlift.plans.gate import Gate
+from eventlift.plans.publish import Publication, published
 
 TABLES = ["fact_events", "activity", "dim_users", "engagement_metrics", "funnel_analysis"]
 
@@ -54,32 +57,6 @@ def stage(raw: DataFrame, variables: Variables = Variables()) -> DataFrame:
     return stg_events(once, include_bot_traffic=True)
 
 
-def _write(
-    df: DataFrame, path: str, by_day: bool, only_given_days: bool = False, gather: bool = False
-) -> None:
-    """Overwrite a table.  ``gather`` brings the rows of a day together first, in tasks of
-    even size, where otherwise every task would write a file into every day."""
-    if gather:
-        df = df.hint("rebalance", "event_date")
-    writer = df.write.mode("overwrite")
-    if by_day:
-        writer = writer.partitionBy("event_date")
-    if only_given_days:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
-def _drop_days(spark: SparkSession, path: str, df: DataFrame, days: tuple[dt.date, dt.date]) -> None:
-    """Delete the partitions of a refreshed range that the new rows no longer have."""
-    kept = {str(r[0]) for r in df.select("event_date").distinct().collect()}  # a row a day
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(folder) if files.exists(folder) else []:
-        day = status.getPath().getName().partition("event_date=")[2]
-        if day and day not in kept and str(days[0]) <= day <= str(days[1]):
-            files.delete(status.getPath(), True)
-
-
 def build_marts(
     spark: SparkSession,
     raw: DataFrame,
@@ -88,40 +65,83 @@ def build_marts(
     as_of=None,
     variables: Variables = Variables(),
     days: tuple[dt.date, dt.date] | None = None,
+    gate: Gate | None = None,
 ) -> dict[str, DataFrame]:
-    """Write all marts under ``output`` and return them as read back.
+    """Write all marts under ``output``, publish them together and return them as read back.
 
     ``days`` (first, last) refreshes only those days of the fact table and the rollup,
     pruning the raw scan to their partitions; the small marts are then rebuilt from the
-    whole rollup.
+    whole rollup.  New versions are written beside the published ones, so a run that fails, or whose
+    fact rows break the ``gate``, leaves what readers see as it was.  The gate's metrics are taken while the
+    fact table is written.
     """
-    path = lambda name: f"{output}/{name}"
-    partial = days is not None
-    if partial:
+    run = Publication(spark, output)
+    if days is not None:
         raw = raw.where(F.col("event_date").between(*days))
 
     staged = stage(raw, variables)
     staged.createOrReplaceTempView("stg_events")
     # rows that were shuffled would leave a file of every task in every day
     gather = variables.gather_facts or variables.dedup
-    if partial:
-        _drop_days(spark, path("fact_events"), staged, days)
-        _drop_days(spark, path("activity"), staged, days)
-    _write(fact_events(staged), path("fact_events"), True, partial, gather)
-    fact = spark.read.parquet(path("fact_events"))
-
-    source = fact.where(F.col("event_date").between(*days)) if partial else fact
-    _write(activity_rollup(source), path("activity"), True, partial, gather=True)
-    activity = spark.read.parquet(path("activity"))
-
-    _write(dim_users(activity, as_of), path("dim_users"), False)
-    _write(engagement_metrics(activity, as_of), path("engagement_metrics"), False)
-    _write(funnel_analysis(activity, as_of), path("funnel_analysis"), False)
+    facts, seen = gate.watch(fact_events(staged)) if gate else (fact_events(staged), None)
+    fact = run.write("fact_events", facts, by_day=True, days=days, gather=gather)
+    if gate:
+        gate.decide(seen)
+
+    source = fact.where(F.col("event_date").between(*days)) if days else fact
+    activity = run.write("activity", activity_rollup(source), by_day=True, days=days, gather=True)
+
+    run.write("dim_users", dim_users(activity, as_of))
+    run.write("engagement_metrics", engagement_metrics(activity, as_of))
+    run.write("funnel_analysis", funnel_analysis(activity, as_of))
+    run.publish()
     return load_marts(spark, output)
 
 
 def load_marts(spark: SparkSession, output: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{output}/{name}") for name in TABLES}
+    """The published marts."""
+    found = published(spark, output)
+    return {name: found[name] for name in TABLES}
+
+
+#: Tables behind the dashboard and the retention report, made from published marts.
+REPORTS = [
+    "retention_comparison",
+    "retention_within",
+    "kpi_cards",
+    "funnel_steps",
+    "event_breakdown",
+    "device_distribution",
+    "hourly_pattern",
+    "recent_engagement",
+    "quality_sessions",
+]
+
+
+def build_reports(
+    spark: SparkSession, output: str, *, as_of=None, variables: Variables = Variables()
+) -> dict[str, DataFrame]:
+    """Write the report and serving tables from the published marts and publish them together."""
+    run = Publication(spark, output)
+    marts = {name: run.read(name) for name in TABLES}
+    retention = retention_report(marts, variables)
+    recent = windowed_marts(marts, as_of, variables)
+    frames = {
+        "retention_comparison": retention["comparison"],
+        "retention_within": retention["within_window"],
+        "kpi_cards": serving.kpi_cards(marts["engagement_metrics"]),
+        "funnel_steps": funnel_long(marts["activity"]),
+        "event_breakdown": serving.event_breakdown(marts["fact_events"]),
+        "device_distribution": serving.device_distribution(marts["fact_events"]),
+        "hourly_pattern": serving.hourly_pattern(marts["fact_events"]),
+        "recent_engagement": recent["engagement_metrics"],
+        "quality_sessions": recent["sessions"],
+    }
+    for name in REPORTS:
+        run.write(name, frames[name])
+    run.publish()
+    found = published(spark, output)
+    return {name: found[name] for name in REPORTS}
 
 
 def retention_report(

@@ -4,11 +4,14 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import SF_DIR, event, plan_of, rows_of
+from pyspark.sql import functions as F
 
 from eventlift.operators import serving
 from eventlift.operators.quality import dedup_events
 from eventlift.plans import run_marts
+from eventlift.plans.gate import Gate, QualityError
 from eventlift.plans.marts import (
+    REPORTS,
     TABLES,
     Variables,
     build_marts,
@@ -16,6 +19,7 @@ from eventlift.plans.marts import (
     retention_report,
     windowed_marts,
 )
+from eventlift.plans.publish import Publication, StaleManifest, published, vacuum
 from eventlift.plans.session import checkpoint_root
 from eventlift.sources import raw_events_from_table, read_raw_lake
 from eventlift.streaming.sinks import compact_raw, write_raw
@@ -167,3 +171,97 @@ def test_latency_percentile_reads_its_input_once(spark, lake):
     latency.collect()
     plan = plan_of(latency).partition("== Initial Plan")[0]
     assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+
+
+# -- publishing ---------------------------------------------------------------
+
+
+def test_a_failed_run_leaves_the_published_marts(spark, lake, tmp_path, monkeypatch):
+    from eventlift.plans import marts as plan
+
+    out = str(tmp_path / "m")
+    build_marts(spark, read_raw_lake(spark, lake).where("event_date < DATE'2024-01-10'"), out, as_of=AS_OF)
+    before = {n: rows_of(d.select(*sorted(d.columns))) for n, d in load_marts(spark, out).items()}
+
+    def broken(*args):
+        raise OSError("disk")
+
+    monkeypatch.setattr(plan, "funnel_analysis", broken)
+    with pytest.raises(OSError):
+        build_marts(spark, read_raw_lake(spark, lake), out, as_of=AS_OF)
+    assert {n: rows_of(d.select(*sorted(d.columns))) for n, d in load_marts(spark, out).items()} == before
+    assert vacuum(spark, out) == 4  # fact, activity, users and metrics of the failed run
+    assert {n: rows_of(d.select(*sorted(d.columns))) for n, d in load_marts(spark, out).items()} == before
+
+
+def test_days_without_rows_go_and_others_stay(spark, lake, tmp_path):
+    out = str(tmp_path / "m")
+    raw = read_raw_lake(spark, lake).where("event_date < DATE'2024-01-06'")
+    build_marts(spark, raw, out, as_of=AS_OF)
+    days = (dt.date(2024, 1, 3), dt.date(2024, 1, 4))
+    again = build_marts(spark, raw.where("event_date <> DATE'2024-01-03'"), out, as_of=AS_OF, days=days)
+    assert [str(r[0]) for r in again["engagement_metrics"].select("event_date").orderBy("event_date").collect()] == ["2024-01-01", "2024-01-02", "2024-01-04", "2024-01-05"]
+    assert vacuum(spark, out) > 0
+    assert load_marts(spark, out)["fact_events"].where("event_date = DATE'2024-01-04'").count() > 0
+    assert "PartitionFilters: [isnotnull(event_date" in plan_of(load_marts(spark, out)["fact_events"].where("event_date = DATE'2024-01-04'"))
+
+
+def test_two_runs_at_once_do_not_overwrite_each_other(spark, tmp_path):
+    first, second = Publication(spark, str(tmp_path)), Publication(spark, str(tmp_path))
+    for run, n in ((first, 3), (second, 5)):
+        assert run.write("t", spark.range(n)).count() == n
+    first.publish()
+    with pytest.raises(StaleManifest):
+        second.publish()
+    assert published(spark, str(tmp_path))["t"].count() == 3
+    empty = Publication(spark, str(tmp_path))
+    assert empty.write("t", spark.range(0).withColumn("event_date", F.lit(dt.date(2024, 1, 1))), by_day=True).count() == 0
+
+
+def test_the_gate_decides_about_publication(spark, lake, tmp_path):
+    out = str(tmp_path / "m")
+    raw = read_raw_lake(spark, lake).where("event_date < DATE'2024-01-04'")
+    good = build_marts(spark, raw, out, as_of=AS_OF, gate=Gate())
+    rows = good["fact_events"].count()
+    odd = raw.withColumn("event_type", F.when(F.hash("event_id") % 2 == 0, F.lit("nope")).otherwise(F.col("event_type")))
+    for gate, source, check in ((Gate(), odd, "event_type:unknown"), (Gate(allowed={}), raw, "event_type:unknown"), (Gate(least_rows=10**6), raw, "rows:few")):
+        with pytest.raises(QualityError) as error:
+            build_marts(spark, source, out, as_of=AS_OF, gate=gate)
+        assert list(error.value.broken) == [check]
+    assert load_marts(spark, out)["fact_events"].count() == rows
+    assert Gate(allowed={"event_type:unknown": 1}, least_rows=rows)
+
+
+def test_job_settings_from_the_command_line(spark, lake, tmp_path):
+    out = str(tmp_path / "m")
+    common = ["--raw", lake, "--output", out, "--as-of", AS_OF, "--reports"]
+    run_marts.main([*common, "--dedup", "--gather-facts", "--gate", "--allow", "event_type:unknown=0.5", "--vacuum"])
+    plain = {n: rows_of(d) for n, d in published(spark, out).items() if n in REPORTS}
+    assert set(plain) == set(REPORTS) and all(plain.values())
+    changed = ["--include-bot-traffic", "--retention-window-days", "0", "--min-events-per-session", "6", "--engagement-window-days", "5"]
+    run_marts.main([*common, "--dedup", *changed])
+    other = published(spark, out)
+    assert len(rows_of(other["recent_engagement"])) < len(plain["recent_engagement"])
+    for table in ("retention_within", "quality_sessions", "event_breakdown"):
+        assert rows_of(other[table]) != plain[table], table
+    with pytest.raises(QualityError):
+        run_marts.main([*common, "--gate", "--least-rows", "100000000"])
+
+
+@pytest.mark.parametrize(
+    ("flags", "setting", "value"),
+    [
+        (["--include-bot-traffic"], "include_bot_traffic", True),
+        (["--dedup"], "dedup", True),
+        (["--gather-facts"], "gather_facts", True),
+        (["--min-events-per-session", "3"], "min_events_per_session", 3),
+        (["--max-session-duration-hours", "1.5"], "max_session_duration_hours", 1.5),
+        (["--retention-window-days", "14"], "retention_window_days", 14),
+        (["--engagement-window-days", "60"], "engagement_window_days", 60),
+    ],
+)
+def test_every_flag_reaches_its_setting(spark, lake, monkeypatch, flags, setting, value):
+    seen = {}
+    monkeypatch.setattr(run_marts, "build_marts", lambda *args, **settings: seen.update(settings))
+    run_marts.main(["--raw", lake, "--output", "/nowhere", *flags])
+    assert seen["variables"] == Variables(**{setting: value}) != Variables()
