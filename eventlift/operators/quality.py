@@ -70,6 +70,30 @@ def dedup_stream(events: DataFrame, watermark: str = "1 hour", key: str = "event
     return once.unionByName(marked.where(F.col(key).isNull()))
 
 
+#: How far a client's clock may be ahead of the broker's.
+FUTURE_TOLERANCE = "1 hour"
+
+
+def _from_future(tolerance: str) -> Column:
+    """An event time later than the broker's receive time and the tolerance; never for a missing time."""
+    limit = F.col("kafka_timestamp") + F.expr(f"INTERVAL {tolerance}")
+    return F.coalesce(F.col("event_timestamp") > limit, F.lit(False))
+
+
+def present_events(events: DataFrame, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
+    """Events whose clock is not ahead of the broker's by more than the tolerance.
+
+    Apply it before a watermark: one event of a clock set to 2030 would move the watermark there, and every
+    event after it would count as late.
+    """
+    return events.where(~_from_future(tolerance))
+
+
+def future_events(events: DataFrame, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
+    """The rest of ``present_events``."""
+    return events.where(_from_future(tolerance))
+
+
 def is_human(user_agent: Column) -> Column:
     """No agent, or one without ``bot`` in lower case (``BOT`` passes, ``Googlebot`` not)."""
     return user_agent.isNull() | ~user_agent.contains("bot")

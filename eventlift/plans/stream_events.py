@@ -9,8 +9,10 @@ from __future__ import annotations
 import argparse
 
 from eventlift.operators.ingest import parse_events
+from eventlift.operators.quality import FUTURE_TOLERANCE
 from eventlift.plans.session import build_session, checkpoint_root
 from eventlift.sources.messages import DEFAULT_TOPIC, stream_messages
+from eventlift.streaming.fanout import outputs, start_fanout
 from eventlift.streaming.job import await_all, start_all, start_dead_letters, valid_only
 from eventlift.streaming.sinks import DEFAULT_TRIGGER
 
@@ -36,6 +38,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--approx", action="store_true")
     parser.add_argument("--valid-only", action="store_true", help="keep only events that pass validation")
     parser.add_argument("--dead-letters", action="store_true", help="also write the events that do not")
+    parser.add_argument("--activity", action="store_true", help="also write active users and events per minute")
+    parser.add_argument("--files-per-hour", type=int, default=8, help="tasks that write an hour of the raw lake")
+    parser.add_argument(
+        "--future-tolerance", default=FUTURE_TOLERANCE, help="how far a clock may be ahead of the broker's"
+    )
+    parser.add_argument(
+        "--fan-out", action="store_true", help="one query that reads once and writes raw, rejected, rollup and receipts"
+    )
     args = parser.parse_args(argv)
 
     spark = build_session("eventlift-stream")
@@ -51,6 +61,10 @@ def main(argv: list[str] | None = None) -> None:
         fail_on_data_loss=not args.allow_data_loss,
     )
     events = parse_events(messages)
+    if args.fan_out:
+        sinks = outputs(args.files_per_hour, args.future_tolerance)
+        await_all(spark, [start_fanout(events, args.output, f"{checkpoints}/fanout", trigger=trigger, sinks=sinks)])
+        return
     queries = start_all(
         valid_only(events) if args.valid_only else events,
         args.output,
@@ -59,6 +73,9 @@ def main(argv: list[str] | None = None) -> None:
         realtime_trigger=None if trigger is None else "1 minute",
         dedup=args.dedup,
         approx=args.approx,
+        files_per_hour=args.files_per_hour,
+        future_tolerance=args.future_tolerance,
+        activity=args.activity,
     )
     if args.dead_letters:
         queries.append(start_dead_letters(events, args.output, checkpoints, trigger=trigger))

@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlift.operators.ingest import accepted_events, rejected_events, validate_events
-from eventlift.operators.quality import dedup_stream
-from eventlift.streaming.aggregates import realtime_metrics, session_metrics, stream_funnel
+from eventlift.operators.quality import FUTURE_TOLERANCE, dedup_stream, present_events
+from eventlift.streaming.aggregates import (
+    active_users,
+    events_per_minute,
+    realtime_metrics,
+    session_metrics,
+    stream_funnel,
+)
 from eventlift.streaming.sinks import DEFAULT_TRIGGER, start_append, write_raw_stream
 
 
@@ -22,20 +28,32 @@ def start_all(
     realtime_trigger: str | None = "1 minute",
     dedup: bool = False,
     approx: bool = False,
+    files_per_hour: int = 8,
+    future_tolerance: str | None = FUTURE_TOLERANCE,
+    activity: bool = False,
 ) -> list[StreamingQuery]:
     """Start the raw sink and the three windowed metrics on parsed events.
 
     Each query owns its path and checkpoint.  ``dedup`` counts redelivered events once
-    in the metrics; the raw lake keeps every copy, late events included.
+    in the metrics; the raw lake keeps every copy, late events included.  Events whose clock is ahead of the
+    broker's by more than ``future_tolerance`` stay out of the metrics, whose watermark they would move, and
+    are in the raw lake; ``None`` lets them in.  ``activity`` adds active users and events per minute.
+    ``files_per_hour`` is how many tasks write an hour of the raw lake.
     """
-    metrics = lambda watermark: dedup_stream(events, watermark) if dedup else events
+    present = events if future_tolerance is None else present_events(events, future_tolerance)
+    metrics = lambda watermark: dedup_stream(present, watermark) if dedup else present
     tables = {
         "session_metrics": (session_metrics(metrics("1 hour")), trigger),
         "realtime_metrics": (realtime_metrics(metrics("5 minutes"), approx=approx), realtime_trigger),
         "funnel_metrics": (stream_funnel(metrics("1 hour"), approx=approx), trigger),
     }
+    if activity:
+        tables["active_users"] = (active_users(metrics("5 minutes")), realtime_trigger)
+        tables["events_per_minute"] = (events_per_minute(metrics("5 minutes")), realtime_trigger)
     queries = [
-        write_raw_stream(events, f"{output}/raw", f"{checkpoints}/raw", trigger=trigger)
+        write_raw_stream(
+            events, f"{output}/raw", f"{checkpoints}/raw", trigger=trigger, files_per_hour=files_per_hour
+        )
     ]
     for name, (frame, interval) in tables.items():
         queries.append(
