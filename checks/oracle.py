@@ -392,10 +392,15 @@ answers AS (
     coalesce(arg_max(option_id, (event_timestamp, event_id))
       FILTER (event_type = 'option_selected' AND question_id = 2), '') AS use_case,
     array_filter(['opensource', 'cloud', 'sql', 'python', 'governance', 'lowcode'],
-      lambda f: list_contains(coalesce(list(option_id) FILTER (event_type = 'option_selected' AND question_id = 3), []), f)) AS features,
+      lambda f: list_contains(coalesce(any_value(f3.chosen), []), f)) AS features,
     coalesce(arg_max(slider_value, (event_timestamp, event_id))
       FILTER (event_type = 'slider_adjusted' AND question_id = 4), 100) AS budget
-  FROM stg GROUP BY session_id)
+  FROM stg LEFT JOIN (
+    SELECT session_id, list(option_id) AS chosen FROM (
+      SELECT session_id, option_id, arg_max(event_type, (event_timestamp, event_id)) AS last_change FROM stg
+      WHERE event_type IN ('option_selected', 'option_deselected') AND question_id = 3 GROUP BY session_id, option_id)
+    WHERE last_change = 'option_selected' GROUP BY session_id) f3 USING (session_id)
+  GROUP BY session_id)
 """
 )
 
@@ -523,6 +528,34 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(*) AS total_events, count(*) FILTER (reasons = '') AS accepted_events,"
         " count(*) FILTER (reasons <> '') AS rejected_events FROM judged",
     )
+    empties = "SELECT unnest([-1, -2]) AS batch_id"
+    q["request_receipts"] = _with(
+        _DIRTY,
+        f"""
+        SELECT batch_id, coalesce(count(*) FILTER (reasons = ''), 0) > 0 AND count(*) <= 1000 AS success,
+          CASE WHEN count(*) > 1000 THEN 'batch:large' END AS batch_refused, count(*) AS total_events,
+          CASE WHEN count(*) <= 1000 THEN count(*) FILTER (reasons = '') ELSE 0 END AS accepted_events,
+          count(*) - CASE WHEN count(*) <= 1000 THEN count(*) FILTER (reasons = '') ELSE 0 END AS rejected_events,
+          CASE WHEN count(*) <= 1000
+            THEN coalesce(string_agg(event_id, ',' ORDER BY event_id) FILTER (reasons = ''), '') ELSE '' END AS event_ids,
+          CASE WHEN count(*) <= 1000 THEN coalesce(string_agg(event_id || ': ' || replace(reasons, ',', ', '), ','
+              ORDER BY event_id || ': ' || replace(reasons, ',', ', ')) FILTER (reasons <> ''), '')
+            ELSE 'batch:large' END AS errors
+        FROM judged GROUP BY batch_id
+        UNION ALL SELECT batch_id, false, 'batch:empty', 0, 0, 0, '', 'batch:empty' FROM ({empties})
+        """,
+    )
+    q["ingest_reconcile"] = _with(
+        _DIRTY,
+        """, sized AS (SELECT *, count(*) OVER (PARTITION BY batch_id) > 1000 AS refused FROM judged)
+        SELECT count(*) AS total_events, count(*) FILTER (reasons = '' AND NOT refused) AS accepted_events,
+          count(*) FILTER (reasons <> '' OR refused) AS rejected_events FROM sized""",
+    )
+    q["future_events"] = _with(
+        "",
+        f"""SELECT event_id, {_ts("event_timestamp + INTERVAL '2200 days'", 'event_timestamp')}, {_ts('received', 'kafka_timestamp')}
+        FROM raw WHERE id % 150 = 4 AND event_timestamp + INTERVAL '2200 days' > received + INTERVAL '1 hour'""",
+    )
     q["dedup_events"] = _with(
         "",
         f"SELECT event_id, user_id, event_type, {_ts('event_timestamp')}, {_ts('first_processed', 'processed_at')}"

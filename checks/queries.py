@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlift import schema
 from eventlift.operators import (
     activity,
     engagement,
@@ -115,9 +116,38 @@ def validated(spark, sf_dir):
     return ingest.validate_events(dirty(spark, sf_dir), uuid_ids=False)
 
 
+def requests(spark, sf_dir):
+    """The broken events as request rows with their lists, and two requests without events."""
+    events = F.collect_list(F.struct(*schema.EVENT.names)).alias("events")
+    full = dirty(spark, sf_dir).groupBy("batch_id", "header_user_agent").agg(events)
+    kind = full.schema["events"].dataType.simpleString()
+    empty = spark.range(1).select(
+        F.inline(
+            F.expr(
+                f"array(named_struct('batch_id', -1, 'header_user_agent', 'hdr/x', 'events', CAST(array() AS {kind})),"
+                f" named_struct('batch_id', -2, 'header_user_agent', 'hdr/x', 'events', CAST(NULL AS {kind})))"
+            )
+        )
+    )
+    return full.unionByName(empty)
+
+
 # -- ingest ---------------------------------------------------------------
 
 
+def ingest_reconcile(spark, sf_dir):
+    """Totals by way of the exploded requests: what the receipts refuse is not accepted here either."""
+    rows = ingest.validate_events(ingest.explode_batches(requests(spark, sf_dir)), uuid_ids=False)
+    return ingest.ingest_totals(rows)
+
+
+def future_events(spark, sf_dir):
+    """Some clocks set years ahead."""
+    ahead = F.expr("IF(id % 150 = 4, event_timestamp + INTERVAL 2200 DAYS, event_timestamp)")
+    wild = raw(spark, sf_dir).withColumn("event_timestamp", ahead)
+    return quality.future_events(wild).select("event_id", "event_timestamp", "kafka_timestamp")
+
+
 def scan_raw(spark, sf_dir):
     return raw(spark, sf_dir).groupBy("event_date", "event_hour").agg(
         F.count(F.lit(1)).alias("events"),
@@ -338,6 +368,9 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_defaults": apply_defaults,
     "validate_events": validate_events,
     "batch_receipt": lambda s, d: ingest.batch_receipt(validated(s, d)),
+    "request_receipts": lambda s, d: ingest.request_receipts(requests(s, d), uuid_ids=False),
+    "ingest_reconcile": ingest_reconcile,
+    "future_events": future_events,
     "rejected_events": rejected_events,
     "reject_reasons": lambda s, d: ingest.reject_reasons(validated(s, d)),
     "ingest_totals": lambda s, d: ingest.ingest_totals(validated(s, d)),

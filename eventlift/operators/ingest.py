@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -102,15 +102,15 @@ def stamp_received(events: DataFrame, received_at: Column | None = None) -> Data
     return events.withColumn("received_at", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
-def stripped(name: str) -> Column:
-    """A text column without white space of any kind at its ends."""
-    return F.regexp_replace(name, r"^\s+|\s+$", "")
+def stripped(text: Column | str) -> Column:
+    """A text without white space of any kind, Unicode's included, at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def _out_of_range(field: str, low, high) -> Column:
-    sides = [F.col(field) < low] if low is not None else []
+def _out_of_range(value: Column, low, high) -> Column:
+    sides = [value < low] if low is not None else []
     if high is not None:
-        sides.append(F.col(field) > high)
+        sides.append(value > high)
     return reduce(or_, sides)
 
 
@@ -119,25 +119,30 @@ def validation_rules(
     uuid_ids: bool = True,
     ranges: Sequence[tuple] = schema.RANGE_RULES,
     require_time: bool = True,
+    field: Callable[[str], Column] = F.col,
 ) -> list[tuple[str, Column]]:
-    """The rules as (reason, condition that breaks it)."""
+    """The rules as (reason, condition that breaks it).
+
+    ``field`` turns a name such as ``context.device_type`` into its column: columns of the row, or
+    fields of an array's element.
+    """
     rules = [
-        ("user_id:missing", F.col("user_id").isNull()),
-        ("user_id:blank", F.length(stripped("user_id")) == 0),
-        ("session_id:missing", F.col("session_id").isNull()),
-        ("event_type:missing", F.col("event_type").isNull()),
-        ("event_type:unknown", ~F.col("event_type").isin(schema.EVENT_TYPES)),
-        ("device_type:unknown", ~F.col("context.device_type").isin(schema.DEVICE_TYPES)),
+        ("user_id:missing", field("user_id").isNull()),
+        ("user_id:blank", F.length(stripped(field("user_id"))) == 0),
+        ("session_id:missing", field("session_id").isNull()),
+        ("event_type:missing", field("event_type").isNull()),
+        ("event_type:unknown", ~field("event_type").isin(schema.EVENT_TYPES)),
+        ("device_type:unknown", ~field("context.device_type").isin(schema.DEVICE_TYPES)),
     ]
     if uuid_ids:
         rules += [
-            (f"{name}:format", ~F.col(name).rlike(schema.UUID_PATTERN))
+            (f"{name}:format", ~field(name).rlike(schema.UUID_PATTERN))
             for name in ("event_id", "session_id")
         ]
     if require_time:
-        rules.append(("timestamp:invalid", F.try_to_timestamp("timestamp").isNull()))
-    rules += [(f"{rule[0].split('.')[-1]}:range", _out_of_range(*rule)) for rule in ranges]
-    rules.append(("event_id:missing", F.col("event_id").isNull()))
+        rules.append(("timestamp:invalid", F.try_to_timestamp(field("timestamp")).isNull()))
+    rules += [(f"{name.split('.')[-1]}:range", _out_of_range(field(name), low, high)) for name, low, high in ranges]
+    rules.append(("event_id:missing", field("event_id").isNull()))
     return rules
 
 
@@ -154,8 +159,15 @@ def validate_events(
     same as texts.  Filter on the code: it is plain arithmetic, while the texts are put
     together only for events that break a rule.  Apply ``apply_defaults`` first when
     clients may omit id or timestamp.
+
+    Rows of ``explode_batches`` carry ``batch_refused``; all events of a refused request are
+    rejected for that reason as well, and the row of a request without events for nothing else.
     """
     rules = validation_rules(uuid_ids=uuid_ids, ranges=ranges, require_time=require_time)
+    if "batch_refused" in events.columns:
+        empty = F.col("batch_refused").eqNullSafe(EMPTY_BATCH)
+        rules = [(reason, failed & ~empty) for reason, failed in rules]
+        rules += [(reason, F.col("batch_refused").eqNullSafe(reason)) for reason in (EMPTY_BATCH, LARGE_BATCH)]
     broken = reduce(
         add, [F.when(failed, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, failed) in enumerate(rules)]
     )
@@ -205,10 +217,13 @@ _SHARES = 16
 def batch_receipt(
     validated: DataFrame,
     batch: str = "batch_id",
-    max_events: int = schema.MAX_BATCH_EVENTS,
+    max_events: int | None = schema.MAX_BATCH_EVENTS,
 ) -> DataFrame:
     """One receipt per request batch: counts, accepted ids, error texts.
 
+    For events that are rows already; requests with their lists of events have ``request_receipts``, without
+    a shuffle.  With ``max_events=None`` no batch is refused, and a list is as long as its batch.
+
     A batch above ``max_events`` is refused whole.  Sizes are therefore counted
     first, with map-side partial sums; ids and errors are gathered only for batches
     within the limit, so a list never holds more than ``max_events`` entries however
@@ -222,7 +237,7 @@ def batch_receipt(
     sizes = validated.groupBy(batch).agg(
         F.count(F.lit(1)).alias("total_events"), count_if(accepted).alias("__good")
     )
-    within = F.col("total_events") <= max_events
+    within = F.lit(True) if max_events is None else F.col("total_events") <= max_events
     every_share = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("__share")
     share = F.pmod(F.xxhash64("event_id"), F.lit(_SHARES)).cast("int")
     error = F.concat_ws(
@@ -261,15 +276,76 @@ def batch_receipt(
     )
 
 
-def explode_batches(requests: DataFrame) -> DataFrame:
-    """Request rows ``(batch_id, header_user_agent, events)`` to one row per event."""
-    return requests.select("batch_id", "header_user_agent", F.explode("events").alias("e")).select(
-        "batch_id", "header_user_agent", "e.*"
+#: Why a request is refused whole.
+EMPTY_BATCH, LARGE_BATCH = "batch:empty", "batch:large"
+
+
+def _refused(events: Column, max_events: int | None) -> Column:
+    """The reason to refuse a request with this array of events, or NULL."""
+    size = F.coalesce(F.size(events), F.lit(0))
+    refused = F.when(size <= 0, F.lit(EMPTY_BATCH))
+    return refused if max_events is None else refused.when(size > max_events, F.lit(LARGE_BATCH))
+
+
+def request_receipts(
+    requests: DataFrame,
+    max_events: int | None = schema.MAX_BATCH_EVENTS,
+    *,
+    uuid_ids: bool = True,
+    ranges: Sequence[tuple] = schema.RANGE_RULES,
+    require_time: bool = True,
+) -> DataFrame:
+    """One receipt per request row ``(batch_id, header_user_agent, events)``, in the row itself.
+
+    The nested events are judged by array functions: no explode, no shuffle, no grouping, and a request
+    without events, or with a null list, has its receipt too.  Such a request is refused as ``batch:empty``, one above
+    ``max_events`` as ``batch:large`` (``None`` sets no limit); a refused request accepts nothing and its
+    error is the reason.  Ids and errors are sorted.  A null entry in the list counts as an event without fields.
+    """
+
+    def judged(event: Column) -> Column:
+        field = lambda name: reduce(lambda column, part: column[part], name.split("."), event)
+        rules = validation_rules(uuid_ids=uuid_ids, ranges=ranges, require_time=require_time, field=field)
+        broken = F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in rules]))
+        return F.struct(event["event_id"].alias("id"), F.array_join(broken, ", ").alias("reasons"))
+
+    none = F.array().cast("array<string>")
+    refused = _refused(F.col("events"), max_events)
+    verdicts = F.when(refused.isNull(), F.transform("events", judged))
+    good = F.filter("verdicts", lambda v: v["reasons"] == "")
+    bad = F.filter("verdicts", lambda v: v["reasons"] != "")
+    error = lambda v: F.concat_ws(": ", F.coalesce(v["id"], F.lit("?")), v["reasons"])
+    accepted = F.coalesce(F.size("ids"), F.lit(0)).cast("long")
+    return (
+        requests.select("batch_id", refused.alias("batch_refused"), F.greatest(F.coalesce(F.size("events"), F.lit(0)), F.lit(0)).cast("long").alias("total_events"), verdicts.alias("verdicts"))
+        .select("batch_id", "batch_refused", "total_events", F.transform(good, lambda v: v["id"]).alias("ids"), F.transform(bad, error).alias("wrong"))
+        .select(
+            "batch_id",
+            F.coalesce(F.size("ids") > 0, F.lit(False)).alias("success"),
+            "batch_refused",
+            "total_events",
+            accepted.alias("accepted_events"),
+            (F.col("total_events") - accepted).alias("rejected_events"),
+            F.coalesce(F.array_sort("ids"), none).alias("event_ids"),
+            F.coalesce(F.array_sort("wrong"), F.array("batch_refused")).alias("errors"),
+        )
     )
 
 
+def explode_batches(requests: DataFrame, max_events: int | None = schema.MAX_BATCH_EVENTS) -> DataFrame:
+    """Request rows ``(batch_id, header_user_agent, events)`` to one row per event.
+
+    ``batch_refused`` has the reason to refuse the request, by which ``validate_events`` rejects its events.  A
+    request without events stays as one row without event fields, so that its refusal is not lost.
+    """
+    rows = requests.select("batch_id", "header_user_agent", _refused(F.col("events"), max_events).alias("batch_refused"), F.explode_outer("events").alias("e"))
+    return rows.select("batch_id", "header_user_agent", "batch_refused", "e.*")
+
+
 def ingest_totals(validated: DataFrame) -> DataFrame:
-    """Total, accepted and rejected events of a run, as one row."""
+    """Total, accepted and rejected events of a run, as one row; requests without events add none."""
+    if "batch_refused" in validated.columns:
+        validated = validated.where(~F.col("batch_refused").eqNullSafe(EMPTY_BATCH))
     good = F.col("reject_code") == 0
     return validated.agg(
         F.count(F.lit(1)).alias("total_events"),

@@ -50,7 +50,8 @@ def session_answers(events: DataFrame) -> DataFrame:
 
     Team size and budget are the last slider values of questions 1 and 4, the use case
     the last option of question 2.  Features are the selection sent with the completed
-    third step; without one, the known features ever selected under question 3.
+    third step; without one, the known features whose last event under question 3 selected them: each
+    feature is a last-writer-wins register over selections and deselections.
     Missing answers take the form's defaults.  Only fixed-size state per session.
     """
     position = F.struct("event_timestamp", "event_id")
@@ -65,10 +66,14 @@ def session_answers(events: DataFrame) -> DataFrame:
             "slider_value", (kind == "slider_adjusted") & (F.col("question_id") == question)
         )
 
-    chosen = (kind == "option_selected") & (F.col("question_id") == 3)
-    seen = [
-        F.max(F.when(chosen & (F.col("option_id") == f), F.lit(f))).alias(f"__{f}") for f in FEATURES
-    ]
+    toggled = kind.isin("option_selected", "option_deselected") & (F.col("question_id") == 3)
+
+    def register(feature: str) -> Column:
+        hit = toggled & (F.col("option_id") == feature)
+        on = F.max_by(F.when(hit, kind == "option_selected"), F.when(hit, position))
+        return F.when(on, F.lit(feature)).alias(f"__{feature}")
+
+    seen = [register(f) for f in FEATURES]
     sent = last_where(
         "selected_options", (kind == "quiz_step_completed") & (F.col("step_number") == 3)
     )

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import event, rows_of
+from conftest import event, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from eventlift import schema
@@ -172,11 +172,56 @@ def test_explode_batches(spark):
     assert rows_of(ingest.explode_batches(requests), "event_id")[1] == {
         "batch_id": "b1",
         "header_user_agent": "agent",
+        "batch_refused": None,
         "event_id": "2",
         "user_id": "v",
     }
 
 
+@pytest.fixture(scope="module")
+def requests(spark):
+    """Requests: good and bad events, empty, null, a null entry, three events."""
+    good = lambda i: {n: None for n in schema.EVENT.names} | {"event_id": f"e{i}", "user_id": "u", "session_id": "s", "event_type": "page_view", "timestamp": "2024-01-10T10:00:00Z", "context": {n: None for n in schema.CONTEXT.names}}
+    bad = lambda i: good(i) | {"event_type": "nope", "user_id": " \u00a0\u2003"}
+    kind = f"batch_id long, header_user_agent string, events array<{schema.EVENT.simpleString()}>"
+    rows = [(1, "ua", [good(2), bad(3), good(1)]), (2, "ua", []), (3, "ua", None), (4, "ua", [None, good(4)]), (5, "ua", [bad(5)])]
+    return spark.createDataFrame(rows, kind)
+
+
+def test_request_receipts(requests):
+    found = {r.batch_id: r for r in ingest.request_receipts(requests, uuid_ids=False).collect()}
+    assert found[1][1:] == (True, None, 3, 2, 1, ["e1", "e2"], ["e3: user_id:blank, event_type:unknown"])
+    for i in (2, 3):
+        assert found[i][1:] == (False, "batch:empty", 0, 0, 0, [], ["batch:empty"])
+    assert found[4].accepted_events == 1 and found[4].errors == ["?: user_id:missing, session_id:missing, event_type:missing, timestamp:invalid, event_id:missing"]
+    assert (found[5].success, found[5].rejected_events) == (False, 1)
+    few = {r.batch_id: r for r in ingest.request_receipts(requests, 2, uuid_ids=False).collect()}
+    assert few[1][1:] == (False, "batch:large", 3, 0, 3, [], ["batch:large"]) and few[4] == found[4]
+    unlimited = {r.batch_id: r for r in ingest.request_receipts(requests, None, uuid_ids=False).collect()}
+    assert unlimited == found
+    plan = plan_of(ingest.request_receipts(requests))
+    assert "Exchange" not in plan and "Generate" not in plan
+    assert ingest.request_receipts(requests.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [2, None, 1000])
+def test_receipts_and_totals_agree(requests, most):
+    receipts = ingest.request_receipts(requests, most, uuid_ids=False).agg(*[F.sum(c) for c in ("total_events", "accepted_events", "rejected_events")]).first()
+    rows = ingest.validate_events(ingest.explode_batches(requests, most), uuid_ids=False)
+    assert tuple(ingest.ingest_totals(rows).first()) == tuple(receipts)
+    accepted = {r.event_id for r in ingest.accepted_events(rows).collect()}
+    assert accepted == ({"e1", "e2", "e4"} if most != 2 else {"e4"})
+    assert {r.batch_id for r in ingest.rejected_events(rows).collect()} == {1, 2, 3, 4, 5}
+    assert [r.reject_reasons for r in rows.where("batch_id = 2").collect()] == [["batch:empty"]]
+
+
+def test_flat_receipts_without_a_limit(raw_frame):
+    df = raw_frame([event() for _ in range(20)]).withColumn("batch_id", F.lit(1))
+    rows = ingest.validate_events(df, uuid_ids=False)
+    assert ingest.batch_receipt(rows, max_events=5).first().accepted_events == 0
+    assert ingest.batch_receipt(rows, max_events=None).first().accepted_events == 20
+
+
 def test_received_stamp_is_one_value(raw_frame):
     stamped = ingest.stamp_received(raw_frame([event(), event()]))
     assert stamped.select("received_at").distinct().count() == 1

@@ -181,6 +181,20 @@ def test_answers_take_the_last_value(stg_of):
     assert three["features"] == ["python"]
 
 
+def test_options_are_last_writer_wins(stg_of):
+    def toggles(session, *steps):
+        kinds = {"+": "option_selected", "-": "option_deselected"}
+        return [
+            event(session=session, kind=kinds[s[0]], time=f"10:00:{i:02d}", properties={"question_id": 3, "option_id": s[1:]})
+            for i, s in enumerate(steps)
+        ]
+
+    rows = toggles("s1", "+sql", "-sql", "+sql", "+cloud", "-cloud", "-python") + toggles("s2", "+sql", "-sql") + toggles("s3", "+governance", "+unknown")
+    random.Random(1).shuffle(rows)
+    got = {r.session_id: r.features for r in scoring.session_answers(stg_of(rows)).collect()}
+    assert got == {"s1": ["sql"], "s2": [], "s3": ["governance"]}
+
+
 def score(spark, team=10, use_case="", features=(), budget=100):
     df = spark.createDataFrame([("s", float(team), use_case, list(features), float(budget))], "session_id string, team_size double, use_case string, features array<string>, budget double")
     return scoring.recommendation_scores(df).first()
