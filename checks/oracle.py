@@ -452,6 +452,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_day()}, event_hour, count(*) AS events, {_ts('min(event_timestamp)', 'first_event_at')},"
         f" {_ts('max(processed_at)', 'last_processed_at')} FROM raw GROUP BY event_date, event_hour",
     )
+    q["lake_roundtrip"] = _with(
+        "",
+        f"SELECT event_id, user_id, event_type, {_ts('event_timestamp')}, {_ts('processed_at')}, {_day()}, event_hour,"
+        f" {_r('slider_value', 'slider_value')}, device_type FROM raw",
+    )
+    q["ndjson_roundtrip"] = _with(
+        "", f"SELECT event_id, session_id, {_ts('event_timestamp')}, {_day()}, event_hour, question_id FROM raw"
+    )
     q["envelope_encode"] = _with(
         "",
         "SELECT user_id AS key, event_id, event_type, device_type,"
@@ -693,6 +701,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["session_summary"] = _with(_SESSIONS, f"SELECT {_SUMMARY_COLUMNS} FROM summary")
     q["engagement_metrics"] = _with(_KPIS, f"SELECT {_KPI_COLUMNS} FROM kpis")
+    q["marts_roundtrip"] = q["engagement_metrics"]
     q["engagement_window"] = _with(
         _FACT,
         "SELECT user_id, count(DISTINCT event_date) AS active_days, count(*) AS events FROM fact"
@@ -794,6 +803,17 @@ def oracle_sql() -> dict[str, str]:
             'quiz_completed', 'result_viewed', 'result_shared')
         GROUP BY {window('1 hour')}, feature_name, event_type""",
     )
+    q["stream_roundtrip"] = (
+        f"WITH {_BASE} SELECT f.*, (SELECT count(*) FROM raw) AS raw_events FROM ("
+        + q["stream_funnel"].removeprefix(f"WITH {_BASE}")
+        + ") f WHERE f.window_start::TIMESTAMP + INTERVAL '1 hour' <= (SELECT max(event_timestamp) - INTERVAL '1 hour' FROM raw"
+        " WHERE event_type IN ('quiz_started', 'question_viewed', 'quiz_step_completed', 'quiz_completed', 'result_viewed', 'result_shared'))"
+    )
+    q["fanout_roundtrip"] = q["realtime_metrics"].replace(
+        "FROM raw GROUP BY",
+        "FROM raw WHERE user_id IS NOT NULL AND event_type <> 'unknown_type'"
+        " AND coalesce(slider_value BETWEEN 0 AND 100, true) GROUP BY",
+    )
     q["active_users_5m"] = _with(
         """, slid AS (SELECT user_id, unnest(list_transform([0, 1, 2, 3, 4],
             lambda i: date_trunc('minute', event_timestamp) - to_minutes(i))) AS start FROM raw WHERE user_id IS NOT NULL)""",

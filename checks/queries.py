@@ -6,6 +6,8 @@ types both engines print alike: times, dates and arrays as text, doubles to 6 pl
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +29,17 @@ from eventlift.operators import (
     sessions,
     users,
 )
+from eventlift.plans import gate as gates
 from eventlift.plans import marts
-from eventlift.sources import decode_envelope, encode_envelope, raw_events_from_table
-from eventlift.streaming import aggregates
+from eventlift.sources import (
+    decode_envelope,
+    encode_envelope,
+    raw_events_from_table,
+    read_event_files,
+    read_raw_lake,
+    stream_messages,
+)
+from eventlift.streaming import aggregates, fanout, job, sinks
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -359,8 +369,68 @@ def device_distribution(spark, sf_dir):
     return serving.device_distribution(fact(spark, sf_dir))
 
 
+# -- what is written, read back -------------------------------------------
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder: in the cluster's shared one, or a temporary one where there is none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="eventlift-checks-")
+    return f"{shared.rstrip('/')}/checks-{uuid.uuid4().hex}"
+
+
+def lake_roundtrip(spark, sf_dir):
+    """Through the partitioned raw lake and its compaction."""
+    out = scratch(spark)
+    sinks.write_raw(raw(spark, sf_dir).drop("id"), f"{out}/raw")
+    sinks.compact_raw(spark, f"{out}/raw", f"{out}/compact")
+    return read_raw_lake(spark, f"{out}/compact").select(
+        "event_id", "user_id", "event_type", "event_timestamp", "processed_at", "event_date", "event_hour",
+        "event_properties.slider_value", "context.device_type",
+    )
+
+
+def ndjson_roundtrip(spark, sf_dir):
+    """Through JSON lines, a folder a day."""
+    out = scratch(spark)
+    sinks.write_json_days(raw(spark, sf_dir).select(*schema.EVENT.names), out)
+    return ingest.with_ingest_metadata(read_event_files(spark, out)).select(
+        "event_id", "session_id", "event_timestamp", "event_date", "event_hour", "event_properties.question_id"
+    )
+
+
+def stream_roundtrip(spark, sf_dir):
+    """Messages to files, the four-output job to its end; the hours of the funnel that the watermark has closed."""
+    out = scratch(spark)
+    sinks.write_messages(encode_envelope(raw(spark, sf_dir)), f"{out}/messages")
+    events = ingest.parse_events(stream_messages(spark, "files", path=f"{out}/messages"))
+    job.await_all(spark, job.start_all(events, out, f"{out}/checkpoints", trigger=None, realtime_trigger=None))
+    taken_in = read_raw_lake(spark, f"{out}/raw").count()
+    return spark.read.parquet(f"{out}/funnel_metrics").withColumn("raw_events", F.lit(taken_in).cast("long"))
+
+
+def fanout_roundtrip(spark, sf_dir):
+    """Messages through the one-read job; real-time metrics from its rollup."""
+    out = scratch(spark)
+    sinks.write_messages(encode_envelope(raw(spark, sf_dir)), f"{out}/messages")
+    events = ingest.parse_events(stream_messages(spark, "files", path=f"{out}/messages"))
+    job.await_all(spark, [fanout.start_fanout(events, out, f"{out}/checkpoint", trigger=None, uuid_ids=False)])
+    return fanout.metrics_from_minutes(fanout.read_output(spark, out, "minutes"))
+
+
+def marts_roundtrip(spark, sf_dir):
+    """The mart job with its gate, published and read back: the KPI table."""
+    gate = gates.Gate(allowed={"event_type:unknown": 0.5})
+    built = marts.build_marts(spark, raw(spark, sf_dir), scratch(spark), as_of=AS_OF, gate=gate)
+    return built["engagement_metrics"].drop("calculated_at")
+
+
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_raw": scan_raw,
+    "lake_roundtrip": lake_roundtrip,
+    "ndjson_roundtrip": ndjson_roundtrip,
+    "stream_roundtrip": stream_roundtrip,
+    "fanout_roundtrip": fanout_roundtrip,
+    "marts_roundtrip": marts_roundtrip,
     "envelope_encode": envelope_encode,
     "envelope_decode": envelope_decode,
     "parse_events": parse_events,

@@ -1,4 +1,4 @@
-from eventlift.functions.columns import count_if, percent, ratio, round_n, sum_if
+from eventlift.functions.columns import count_if, iso_utc, percent, ratio, round_n, sum_if
 from eventlift.functions.quantiles import exact_percentile
 
-__all__ = ["count_if", "exact_percentile", "percent", "ratio", "round_n", "sum_if"]
+__all__ = ["count_if", "exact_percentile", "iso_utc", "percent", "ratio", "round_n", "sum_if"]

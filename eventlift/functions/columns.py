@@ -34,3 +34,8 @@ def sum_if(condition: Column, value: Column) -> Column:
 def count_if(condition: Column) -> Column:
     """Rows meeting ``condition``, as bigint and never NULL."""
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
+
+
+def iso_utc(moment: Column) -> Column:
+    """A timestamp as ISO text in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlift import schema
-from eventlift.functions import count_if, sum_if
+from eventlift.functions import count_if, iso_utc, sum_if
 from eventlift.sources.messages import decode_envelope
 
 
@@ -67,9 +67,7 @@ def apply_defaults(events: DataFrame, now: Column | None = None) -> DataFrame:
                 "feature_name": F.coalesce("feature_name", F.lit(schema.DEFAULT_FEATURE)),
                 "event_properties": F.coalesce("event_properties", no_properties),
                 "context": F.coalesce("context", no_context),
-                "timestamp": F.coalesce(
-                    "timestamp", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-                ),
+                "timestamp": F.coalesce("timestamp", iso_utc(now)),
             }
         )
         .withColumn(
@@ -99,7 +97,7 @@ def enrich_user_agent(events: DataFrame, header: str = "header_user_agent") -> D
 def stamp_received(events: DataFrame, received_at: Column | None = None) -> DataFrame:
     """Server receive time as ISO text, one value for all rows of the run."""
     now = F.current_timestamp() if received_at is None else received_at.cast("timestamp")
-    return events.withColumn("received_at", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    return events.withColumn("received_at", iso_utc(now))
 
 
 def stripped(text: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlift import schema
+from eventlift.functions import iso_utc
 
 DEFAULT_TOPIC = "user_events"
 
@@ -67,7 +68,7 @@ def encode_envelope(events: DataFrame, received_at: Column | None = None) -> Dat
         arrival = F.coalesce(F.try_to_timestamp("received_at"), F.current_timestamp())
     else:
         arrival = received_at.cast("timestamp")
-    text = F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    text = iso_utc(arrival)
     body = [
         text.alias(name) if name == "received_at" else F.col(name) for name in schema.EVENT.names
     ]
