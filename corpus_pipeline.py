@@ -24,8 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: without a letter, or without any evidence."""
     ship(spark)
     labelled = docs.where(~held_out()).select(F.col("doc_id").alias("key"), "lang", "text")
-    found = predict_language(docs, labelled)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)).select(*docs.columns)
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    found = predict_language(docs.select(F.struct(*others).alias("others"), "text"), labelled)
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0))
+    return kept.select(*[F.col(c) if c == "text" else F.col(f"others.{c}") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
