@@ -341,11 +341,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
+    # seeds and words must be those of one text: where a doc_id repeats, of its smallest
+    repeated = rows.groupBy("doc").count().where("count > 1").select("doc")
+    smallest = rows.join(repeated, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    rows = rows.join(repeated, "doc", "left_anti").unionByName(smallest)
     found = rows.mapInArrow(_seeder, "seed long, doc long, place int").repartition(width(spark), "seed").sortWithinPartitions("seed", "doc", "place")
     anchors = found.mapInArrow(_anchors, "doc long, lead long, x int, y int").repartition(width(spark), "doc", "lead").sortWithinPartitions("doc", "lead", "x", "y")
     chained = written(anchors.mapInArrow(_chained, "doc long, lead long, xs array<int>, ys array<int>, ns array<int>, sizes array<int>"), "passages-chains")
     wanted = chained.select("doc").unionAll(chained.select("lead")).distinct()
-    texts = rows.join(wanted, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    texts = rows.join(wanted, "doc", "left_semi")
     words = written(texts.mapInArrow(_words, "doc long, words binary"), "passages-words")
     both = chained.join(words.withColumnRenamed("words", "a"), "doc").join(words.select(F.col("doc").alias("lead"), F.col("words").alias("b")), "lead")
     return both.select("doc", "lead", "xs", "ys", "ns", "sizes", "a", "b").mapInArrow(_aligned, "doc_id long, first_word long, n_words long, of_doc_id long, of_first_word long, of_n_words long, similarity double")

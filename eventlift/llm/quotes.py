@@ -95,6 +95,20 @@ def threads(links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return state.where("done").select(*_KEY, F.col("at_conv").alias("thread_conv"), F.col("at_turn").alias("thread_turn"), "depth"), cycles
 
 
+def turn_before(keys: DataFrame) -> DataFrame:
+    """(conv_id, turn, turn_before): the largest smaller turn of each turn's conversation, null for its first.
+
+    Turns may have gaps.  A window looks back within a segment of 1,024 turn numbers, and one row a segment is
+    scanned for the turn before it, so a very long conversation is no single task.
+    """
+    parts = keys.withColumn("segment", F.shiftright("turn", 10))
+    ends = parts.groupBy("conv_id", "segment").agg(F.max("turn").alias("last"))
+    carried = ends.select("conv_id", "segment", F.lag("last").over(Window.partitionBy("conv_id").orderBy("segment")).alias("carried"))
+    inner = F.lag("turn").over(Window.partitionBy("conv_id", "segment").orderBy("turn"))
+    found = parts.withColumn("inner", inner).join(carried, ["conv_id", "segment"])
+    return found.select(*_KEY, F.coalesce("inner", "carried").alias("turn_before"))
+
+
 def reply_ordered(conversations: DataFrame) -> DataFrame:
     """One row a message of ``conversations`` (conv_id, turn, role, text; others are ignored).
 
@@ -113,14 +127,13 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     quoted = passages(placed).groupBy(*_KEY).agg(F.count("*").alias("n_quotes"))
     chosen = found.groupBy(*_KEY).agg(F.count("*").alias("n_linked"), F.min(F.struct("level", "place", "from_conv", "from_turn")).alias("first"))
     keys = placed.select(*_KEY).distinct()
-    before = keys.select("conv_id", (F.col("turn") + 1).alias("turn"), F.lit(True).alias("follows"))
-    links = keys.join(chosen, _KEY, "left").join(quoted, _KEY, "left").join(before, _KEY, "left")
+    links = keys.join(chosen, _KEY, "left").join(quoted, _KEY, "left").join(turn_before(keys), _KEY, "left")
     links = links.select(
         *_KEY,
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
-        F.coalesce("first.from_conv", F.when(F.col("follows"), F.col("conv_id"))).alias("to_conv"),
-        F.when(F.col("first").isNotNull(), F.col("first.from_turn")).when(F.col("follows"), F.col("turn") - 1).alias("to_turn"),
+        F.coalesce("first.from_conv", F.when(F.col("turn_before").isNotNull(), F.col("conv_id"))).alias("to_conv"),
+        F.coalesce("first.from_turn", "turn_before").alias("to_turn"),
     )
     links = written(links, "quotes-replies")
     found, cycles = threads(links)
