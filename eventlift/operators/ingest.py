@@ -181,6 +181,7 @@ def validate_events(
     return (
         # one projection over the scan's own columns, so that unused nested fields are not read
         events.withColumns({"user_id": stripped("user_id"), "reject_code": broken})
+        .withMetadata("reject_code", {"reasons": [reason for reason, _ in rules]})
         .withColumn("reject_reasons", F.when(F.col("reject_code") == 0, none).otherwise(texts))
     )
 
@@ -197,13 +198,16 @@ def rejected_events(validated: DataFrame) -> DataFrame:
 def reject_reasons(validated: DataFrame) -> DataFrame:
     """Rejected events per reason; an event counts once under each of its reasons.
 
-    Events are counted per code first, so only a handful of rows is unfolded.
+    Events are counted per code, a fixed-width key, so nothing but the code is read of them and
+    aggregated; the handful of codes is then unfolded by the names of its bits, which the column carries.
     """
+    names = validated.schema["reject_code"].metadata["reasons"]
+    held = [F.when(F.col("reject_code").bitwiseAND(F.lit(1 << i)) != 0, F.lit(name)) for i, name in enumerate(names)]
     return (
         rejected_events(validated)
         .groupBy("reject_code")
-        .agg(F.any_value("reject_reasons").alias("reasons"), F.count(F.lit(1)).alias("n"))
-        .select(F.explode("reasons").alias("reason"), "n")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.explode(F.array_compact(F.array(*held))).alias("reason"), "n")
         .groupBy("reason")
         .agg(F.sum("n").alias("rejected_events"))
     )

@@ -120,6 +120,16 @@ def test_own_range_rules(raw_frame):
     assert reasons(raw_frame, row, ranges=wide) == {"b": []}
 
 
+def test_reasons_are_counted_by_code(raw_frame, spark, tmp_path):
+    rows = [event(user=None, kind="nope"), event(kind="nope"), event(), event(event_id=None)]
+    judged = ingest.validate_events(raw_frame(rows), uuid_ids=False)
+    want = {"user_id:missing": 1, "event_type:unknown": 2, "event_id:missing": 1}
+    assert {r.reason: r.rejected_events for r in ingest.reject_reasons(judged).collect()} == want
+    assert "SortAggregate" not in plan_of(ingest.reject_reasons(judged))
+    judged.write.parquet(str(tmp_path / "judged"))  # the names stay with the column
+    assert {r.reason: r.rejected_events for r in ingest.reject_reasons(spark.read.parquet(str(tmp_path / "judged"))).collect()} == want
+
+
 def test_accepted_plus_rejected_is_total(raw_frame):
     validated = ingest.validate_events(
         raw_frame([event(), event(user=" "), event(kind="x"), event()]), uuid_ids=False
