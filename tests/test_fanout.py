@@ -9,8 +9,10 @@ from test_streaming import put, run
 from eventlift import schema
 from eventlift.operators.ingest import accepted_events, validate_events
 from eventlift.operators.quality import future_events, present_events
-from eventlift.sources import stream_raw_lake
+from eventlift.plans import stream_events
+from eventlift.sources import encode_envelope, stream_raw_lake
 from eventlift.streaming import aggregates, fanout, job
+from eventlift.streaming.sinks import write_messages
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +123,17 @@ def test_a_clock_in_2030_loses_no_later_event(spark, raw_frame, tmp_path):
     assert spark.read.parquet(f"{out}/events_per_minute").count() == 15
     assert spark.read.parquet(f"{out}/active_users").count() > 15
     assert spark.read.parquet(f"{out}/raw").where("user_id = 'wild'").count() == 1
+
+
+def test_fan_out_from_the_command_line(spark, raw_frame, tmp_path):
+    rows = [event(time=f"10:00:{i:02d}") for i in range(20)] + [event(time=at("2031-01-01 00:00:00"), received_at="2024-01-10T10:00:00Z")]
+    good = [r | {"event_id": f"00000000-0000-4000-8000-{i:012d}", "session_id": "00000000-0000-4000-8000-0000000000aa"} for i, r in enumerate(rows)]
+    bad = [event(user=None, time="10:01:00")]
+    sent = raw_frame(good + bad).withColumn("received_at", F.coalesce("received_at", F.lit("2024-01-10T10:05:00Z")))
+    write_messages(encode_envelope(sent), str(tmp_path / "messages"))
+    out = str(tmp_path / "lake")
+    arguments = ["--source", "files", "--path", str(tmp_path / "messages"), "--output", out, "--checkpoints", str(tmp_path / "c"), "--trigger", "once", "--fan-out", "--files-per-hour", "2", "--future-tolerance", "1 day"]
+    for _ in range(2):  # the second run finds nothing new
+        stream_events.main(arguments)
+        sizes = {name: fanout.read_output(spark, out, name).count() for name in fanout.outputs()}
+        assert sizes == {"raw": 20, "rejected": 1, "future": 1, "minutes": 1, "receipts": 1}
