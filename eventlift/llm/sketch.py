@@ -12,16 +12,16 @@ range every shingle hash of the text is present.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlift.llm.shingles import shingle_sets
-from eventlift.llm.tables import width, written
+from eventlift.llm.tables import width
 
 #: A sketch keeps one of so many hashes.
 SCALE = 4
@@ -56,17 +56,17 @@ class Sketch:
         both = np.unique(np.concatenate([self.hashes, other.hashes]))
         return Sketch(both[both <= np.uint64(covered)], covered)
 
-    def containment(self, other: Sketch, least: int = 1) -> float | None:
+    def containment(self, other: Sketch) -> float | None:
         """Estimated share of the smaller text's shingles that the larger has, 0 to 1.
 
-        None where one of the two has fewer than ``least`` hashes in the range that both cover, unless both cover all.
+        None where one of the two has no hash in the range that both cover, which says nothing of the texts.
         Two texts without shingles count as equal, one of them against others as different.
         """
         covered = np.uint64(min(self.covered, other.covered))
         mine, theirs = self.hashes[self.hashes <= covered], other.hashes[other.hashes <= covered]
         if not len(self.hashes) or not len(other.hashes):
             return float(len(self.hashes) == len(other.hashes))
-        if min(len(mine), len(theirs)) < least and covered < np.uint64(_TOP):
+        if not len(mine) or not len(theirs):
             return None
         return len(np.intersect1d(mine, theirs, assume_unique=True)) / min(len(mine), len(theirs))
 
@@ -77,10 +77,9 @@ class Sketch:
         return bytes(self).hex()
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Containment from the sketches of two sets of distinct hashes, or from all hashes where those have too few in common range."""
-    found = Sketch.of(a).containment(Sketch.of(b), FLOOR)
-    return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b)) if found is None else found
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Containment as two fingerprints give it; 0 where one of them has no hash in the range that both cover."""
+    return a.containment(b) or 0.0
 
 
 def edited(text: str, after: str) -> str:
@@ -89,79 +88,94 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - n] + after[:n]
 
 
-_FIELDS = "kind tinyint, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
+_FIELDS = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
+#: Rows compared at a time.
+_ROWS = 500
 
 
-def _compared(ids: list, texts: list[str], afters: list[str]) -> list[list]:
-    changed = [edited(t, a) for t, a in zip(texts, afters)]
-    own = list(shingle_sets(pa.array(texts, pa.string())))
-    theirs = own[1:] + list(shingle_sets(pa.array(afters[-1:], pa.string()))) if texts[1:] == afters[:-1] else list(shingle_sets(pa.array(afters, pa.string())))
-    new = list(shingle_sets(pa.array(changed, pa.string())))
-    sha = [hashlib.sha256(c.encode()).hexdigest() for c in changed]
-    return [
-        [0] * len(ids),
-        [None] * len(ids),
-        ids,
-        [len(t) for t in texts],
-        sha,
-        [bytes(Sketch.of(s)) for s in own],
-        [bytes(Sketch.of(s)) for s in new],
+def _sketches(texts: list[str]) -> list[Sketch]:
+    return [Sketch.of(s) for s in shingle_sets(pa.array(texts, pa.string()))]
+
+
+def _compared(ids: list, texts: list[str]) -> pa.RecordBatch:
+    """All rows but the last, each with its next one."""
+    changed = [edited(t, after) for t, after in zip(texts, texts[1:])]
+    own, new = _sketches(texts), _sketches(changed)
+    columns = [
+        ids[:-1],
+        [len(t) for t in texts[:-1]],
+        [hashlib.sha256(c.encode()).hexdigest() for c in changed],
+        [bytes(s) for s in own[:-1]],
+        [bytes(s) for s in new],
         [likeness(a, b) for a, b in zip(own, new)],
-        [likeness(a, b) for a, b in zip(own, theirs)],
-        [None] * len(ids),
+        [likeness(a, b) for a, b in zip(own, own[1:])],
     ]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS)], names=_NAMES)
 
 
-def _batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int8(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a range in order, each compared with the next; the last is the one that follows the range."""
+    ids, texts = [], []
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            ids += batch.column(0).slice(at, _ROWS).to_pylist()
+            texts += batch.column(1).slice(at, _ROWS).to_pylist()
+            yield _compared(ids, texts)
+            ids, texts = ids[-1:], texts[-1:]
 
 
-def _edge(kind: int, part: int, doc_id, text: str) -> list[list]:
-    return [[kind], [part], [doc_id], [None], [None], [None], [None], [None], [None], [text]]
+def _place(bounds: list[int]) -> Column:
+    """How many of the sorted bounds are below doc_id; 0 without one.  Searched in two levels."""
+    side = max(1, math.isqrt(len(bounds)))
+    parts = [bounds[i : i + side] for i in range(0, len(bounds), side)] or [[]]
 
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b < F.col("doc_id")))
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition in order: compared with the next one, and the first and the last text as edges (1, 2)."""
-    part, last = TaskContext.get().partitionId(), None
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            ids, texts = batch.column(0).slice(at, 500).to_pylist(), batch.column(1).slice(at, 500).fill_null("").to_pylist()
-            if last is None:
-                yield _batch(_edge(1, part, ids[0], texts[0]))
-            else:
-                ids, texts = [last[0], *ids], [last[1], *texts]
-            last = ids[-1], texts[-1]
-            if len(ids) > 1:
-                yield _batch(_compared(ids[:-1], texts[:-1], texts[1:]))
-    if last is not None:
-        yield _batch(_edge(2, part, *last))
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = [batch.column(c).slice(i, 1).to_pylist() for c in range(3)]
-            yield _batch(_compared(*row))
+    def longs(values: list[int]) -> Column:
+        return F.array(*map(F.lit, values)).cast("array<long>")
+
+    whole = below(longs([p[-1] for p in parts if p]))
+    inner = F.coalesce(F.get(F.array(*map(longs, parts)), whole), longs([]))
+    found = F.least(whole * side + below(inner), F.lit(len(bounds)))
+    return F.when(F.col("doc_id").isNull(), 0).otherwise(found).cast("int")
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of descending doc_id, and behind each range its successor, the first row of the next one.
+
+    Ranges come from quantiles of the ids, at most ``spark.sql.shuffle.partitions``; bounds and first
+    ids, a number a range each, are all that the driver sees.  Only the successors' texts are read
+    a second time, so texts are shuffled once and nothing is written between.
+    """
+    parts = width(rows.sparkSession)
+    shares = [i / parts for i in range(1, parts)]
+    bounds = rows.select(F.percentile_approx("doc_id", shares).alias("b")).first()["b"] if shares else []
+    bounds = sorted(set(bounds or []))
+    rows = rows.withColumn("part", F.lit(len(bounds)) - _place(bounds))
+    firsts = {r[0]: r[1] for r in rows.groupBy("part").agg(F.max("doc_id")).collect()}  # a row a range
+    order = sorted(firsts)
+    before = {p: order[i - 1] for i, p in enumerate(order)}  # the first range follows the last
+    ids = [i for i in firsts.values() if i is not None]
+    first = F.col("doc_id").isin(ids) if ids else F.lit(True)  # without any id all rows are one range
+    heads = rows.where(first).groupBy("part").agg(F.min("text").alias("text"))
+    to = F.array(*(F.lit(before.get(p, p)) for p in range(len(bounds) + 1)))
+    heads = heads.select(F.lit(None).cast("long").alias("doc_id"), "text", F.get(to, F.col("part")).alias("part"), F.lit(1).alias("follows"))
+    both = rows.withColumn("follows", F.lit(0)).unionByName(heads)
+    return both.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("follows", F.desc("doc_id"), "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Sketches of every whole text and of its edited text, with their likeness.
+    """Sketches of every whole text and of its edited text, with their likeness as the sketches give it.
 
     The next document is the next in descending doc_id (rows of equal doc_id in order of their
     texts, without doc_id last); after the last comes the first, which may be the row itself.  A
-    null text counts as empty.  Texts are shuffled once, by range; the rows where ranges meet, two
-    a partition, are compared in a second small step.
+    null text counts as empty.  Likeness is 0 where a sketch has no hash in the range that both
+    cover: of a text of n shingles beside one much longer, a chance of (1 - 1/``SCALE``)^n.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(width(spark), F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"), "text")
-    done = written(rows.mapInArrow(_neighbours, _FIELDS), "sketches")
-    order = Window.orderBy("part")  # a row a partition
-    heads = done.where("kind = 1").select(F.row_number().over(order).alias("i"), F.col("text").alias("after"))
-    tails = done.where("kind = 2").select("doc_id", "text", F.row_number().over(order).alias("i"), F.count("*").over(Window.partitionBy()).alias("n"))
-    met = tails.withColumn("i", F.expr("i % n + 1")).join(heads, "i").select("doc_id", "text", "after")
-    rest = met.mapInArrow(_pairs, _FIELDS)
-    found = done.where("kind = 0").unionByName(rest).drop("kind", "part", "text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    found = _ranged(rows).select("doc_id", "text").mapInArrow(_neighbours, _FIELDS)
     return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
