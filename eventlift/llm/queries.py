@@ -81,7 +81,7 @@ MIX = {"clean": 0.9, "poor": 0.1, "toxic": 0.0}
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixed(table(spark, sf_dir, "documents").select("doc_id", "text"), domains(table(spark, sf_dir, "labels")), MIX)
-    return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"))
+    return found.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.col("mix_posteriors").alias("posteriors"), F.col("rows").alias("n_rows"), F.col("mix_rate").alias("rate"), F.col("mix_targets").alias("targets"), F.col("mix_attained").alias("attained"))
 
 
 def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

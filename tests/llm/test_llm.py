@@ -371,7 +371,7 @@ def test_repeated_passages_recall(session):
 
 
 def test_mixing_meets_targets(session):
-    # equal texts are learned from once, and features count from six deviations on: many distinct texts
+    # equal texts are learned from once: many distinct texts
     texts = [(i, f"good fine {'nice' if i % 2 else 'well'} day n{i}") for i in range(600)] + [(1000 + i, f"bad *** awful $$$ n{i}") for i in range(300)] + [(2000, None)]
     labelled = session.createDataFrame([(i, "g") for i in range(0, 600, 2)] + [(1000 + i, "b") for i in range(0, 300, 2)] + [(7, None)], "doc_id long, domain string")
     got = mixed(docs(session, texts), labelled, {"g": 0.8, "b": 0.2}).collect()
