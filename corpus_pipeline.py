@@ -46,9 +46,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps each document with its mixing rate as probability, drawn by a hash; from rate 1 on always."""
+    """Keeps each document with its mixing rate as probability, drawn by a hash; rates are solved for within 0 to 1."""
     ship(spark)
-    found = mixed(docs.select("doc_id", "text"), domains(table(spark, sf_dir, "labels")), MIX)
+    found = mixed(docs.select("doc_id", "text"), domains(table(spark, sf_dir, "labels")), MIX, most=1.0)
     draw = F.pmod(F.xxhash64("doc_id", "mix_hash", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     kept = found.where(draw < F.col("mix_rate")).select(F.col("doc_id").alias("kept_id"), "mix_hash")
     keyed = docs.withColumn("mix_own_hash", F.xxhash64("text"))
