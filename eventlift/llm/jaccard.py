@@ -20,11 +20,11 @@ cannot reach the threshold are no candidate: near copies whose own, rare shingle
 in the order are told apart without their texts.
 
 Candidates are verified on the full sets.  Only components are reported, so lists are
-compared in steps: every member with one of its list, three times with different ones, at first the
-one with the fewest shingles before the key, which is the middle of a group of near copies; then, in
+compared in two steps: every member with three of its list, among them the one with the fewest
+shingles before the key, which is the middle of a group of near copies; then, in
 lists whose members are still in different components, all members of different components.
 A pair inside one component cannot change the result, so a group of n near copies that the
-first steps join costs n pairs, not n squared.
+first step joins costs 3 n pairs at most, not n squared.  Each step moves the texts once.
 """
 
 from __future__ import annotations
@@ -39,12 +39,14 @@ from pyspark.sql import functions as F
 
 from eventlift.llm.graph import components
 from eventlift.llm.shingles import mix, shingle_sets, signed
-from eventlift.llm.tables import width, written
+from eventlift.llm.tables import batch_rows, removed, width, written
 
 #: Frequent shingles that are ordered last: at most so many, which bounds what tasks are sent.
 FREQUENT = 1 << 16
 #: A shingle counts as frequent from so many sets on.
 FREQUENT_FROM = 16
+#: Entries of an outgoing batch, and texts of one where each row brings two: what a task holds of them at once.
+BATCH_ENTRIES, BATCH_TEXTS = 1 << 17, 500
 #: Size classes for the boundary: eight a doubling.
 CLASSES = 8
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -77,7 +79,7 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def _surveyor(size: int, percent: int):
-    """First pass: the sets of all rows (kind 0), repeated shingles (1), costs by size class (2)."""
+    """First pass: the sets of all rows (kind 0) with the rows' hashes, repeated shingles (1), costs by size class (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,13 +90,13 @@ def _surveyor(size: int, percent: int):
                 sizes.append(len(own))
                 if name is not None:
                     sets.setdefault(name, own)
-            ids = _column(batch, "id").to_pylist()
-            out = [[0] * len(ids), ids, names, sizes]
+            ids, hashes = _column(batch, "id").to_pylist(), _column(batch, "hash").to_pylist()
+            out = [[0] * len(ids), ids, names, sizes, hashes]
             if sets:
                 values, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
                 often = counts > 1
                 values, counts = values[often], counts[often]
-                out = [x + y for x, y in zip(out, ([1] * len(values), signed(values).tolist(), counts.tolist(), [0] * len(values)))]
+                out = [x + y for x, y in zip(out, ([1] * len(values), signed(values).tolist(), counts.tolist(), *2 * [[0] * len(values)]))]
                 cost: dict[int, list[int]] = {}
                 for own in sets.values():
                     n = len(own)
@@ -105,8 +107,8 @@ def _surveyor(size: int, percent: int):
                     c = cost.setdefault(size_class(n), [0, 0])
                     c[0] += min(p + 1, n) * (min(p + 1, n) - 1) // 2
                     c[1] += p + int(met.sum())
-                out = [x + y for x, y in zip(out, ([2] * len(cost), list(cost), [v[0] for v in cost.values()], [v[1] for v in cost.values()]))]
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int8()), *(pa.array(x, pa.int64()) for x in out[1:])], names=["kind", "x", "y", "z"])
+                out = [x + y for x, y in zip(out, ([2] * len(cost), list(cost), [v[0] for v in cost.values()], [v[1] for v in cost.values()], [0] * len(cost)))]
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int8()), *(pa.array(x, pa.int64()) for x in out[1:])], names=["kind", "x", "y", "z", "hash"])
 
     return run
 
@@ -142,19 +144,29 @@ def _poster(size: int, percent: int, frequent: np.ndarray, limit: int):
             yield head[:p], n - np.arange(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = [], [], [], []
+
+        def batch_of() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=_ENTRY)
+            for c in out:
+                c.clear()
+            return found
+
         for batch in batches:
-            keys, names, sizes, mosts, seen = [], [], [], [], set()
+            seen, held = set(), 0
             for own in shingle_sets(_column(batch, "text"), size):
                 if not len(own) or (name := set_name(own)) in seen:
                     continue
                 seen.add(name)
                 for key, most in entries(own):
-                    keys.append(key)
-                    mosts.append(most.astype(np.int32))
-                    names.append(np.full(len(key), name, np.int64))
-                    sizes.append(np.full(len(key), len(own), np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(mosts))], names=_ENTRY)
+                    for c, x in zip(out, (signed(key), np.full(len(key), name, np.int64), np.full(len(key), len(own), np.int32), most.astype(np.int32))):
+                        c.append(x)
+                    held += len(key)
+                if held > BATCH_ENTRIES:
+                    yield batch_of()
+                    held = 0
+            if held:
+                yield batch_of()
 
     return run
 
@@ -193,7 +205,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = (x.as_buffer() for x in _column(batch, "text").fill_null("").cast(pa.large_binary()))
-        yield pa.RecordBatch.from_arrays([_column(batch, "id"), pa.array([packer.compress(x) for x in texts], pa.binary())], names=["id", "packed"])
+        yield pa.RecordBatch.from_arrays([_column(batch, "hash"), pa.array([packer.compress(x) for x in texts], pa.binary())], names=["hash", "packed"])
 
 
 def _unpacked(column: pa.Array) -> pa.Array:
@@ -201,19 +213,6 @@ def _unpacked(column: pa.Array) -> pa.Array:
     return pa.array([unpacker.decompress(x.as_buffer()).decode() for x in column], pa.string())
 
 
-def _named(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = _column(batch, "packed")
-            for at in range(0, len(packed), 500):
-                part = packed.slice(at, 500)
-                names = [set_name(own) if len(own) else None for own in shingle_sets(_unpacked(part), size)]
-                rows = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), part], names=["name", "packed"])
-                yield rows.filter(rows.column(0).is_valid())
-
-    return run
-
-
 def _verifier(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -247,7 +246,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    survey = written(texts.mapInArrow(_surveyor(size, percent), "kind tinyint, x long, y long, z long"), "jaccard-survey")
+    hashed = texts.select("id", F.xxhash64("id", "text").alias("hash"), "text")
+    survey = written(hashed.mapInArrow(_surveyor(size, percent), "kind tinyint, x long, y long, z long, hash long"), "jaccard-survey")
     members = survey.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("name"), F.col("z").alias("n_shingles"))
     costs = [tuple(r) for r in survey.where("kind = 2").groupBy("x").agg(F.sum("y"), F.sum("z")).collect()]  # a row a size class
     often = survey.where("kind = 1").groupBy("x").agg(F.sum("y").alias("n")).where(F.col("n") >= FREQUENT_FROM)
@@ -259,48 +259,42 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     entries = entries.repartition(width(spark), "key").sortWithinPartitions("key", "name")
     lists = written(entries.mapInArrow(_lists, "key long, name long, n int, most int"), "jaccard-lists")
 
-    wanted = members.join(lists.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("id"))
-    # a repeated doc_id may bring a text twice or one that nobody asked for, which adds no link
-    packed = texts.mapInArrow(_packed, "id long, packed binary")
-    sets = packed.join(wanted.select("id").distinct(), packed["id"].eqNullSafe(wanted["id"]), "left_semi").select("packed")
-    sets = written(sets.mapInArrow(_named(size), "name long, packed binary"), "jaccard-texts")
+    # the text of a set is that of one of its rows, which is found by a hash of doc_id and text as doc_ids may repeat
+    whose = survey.where("kind = 0 AND y IS NOT NULL").groupBy(F.col("y").alias("name")).agg(F.min("hash").alias("hash"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("name").alias("a"), F.col("packed").alias("x"))
-        right = sets.select(F.col("name").alias("b"), F.col("packed").alias("y"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_verifier(size, percent), "a long, b long")
+        packed = hashed.select("hash", "text").mapInArrow(_packed, "hash long, packed binary").dropDuplicates(["hash"])
+        for name, at in (("a", "at_a"), ("b", "at_b")):
+            pairs = pairs.join(whose.select(F.col("name").alias(name), F.col("hash").alias(at)), name)
+        for at, text in (("at_a", "x"), ("at_b", "y")):
+            pairs = pairs.join(packed.select(F.col("hash").alias(at), F.col("packed").alias(text)), at).drop(at)
+        return pairs.select("a", "b", "x", "y").mapInArrow(_verifier(size, percent), "a long, b long")
 
     def alike(pairs: DataFrame) -> DataFrame:
         reach = f"{100 + percent} * least(ma, mb) >= {percent} * (na + nb)"
         return pairs.where(f"a <> b AND {reach}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def side(entries: DataFrame, x: str) -> DataFrame:
-        return entries.select("key", F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("most").alias(f"m{x}"), F.col("root").alias(f"r{x}"))
-
-    def grouped(found: DataFrame) -> DataFrame:
-        """Entries of the lists whose members are in more than one component."""
-        placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select(*_ENTRY, F.coalesce("root", "name").alias("root"))
-        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        return written(placed.join(split, "key", "left_semi"), "jaccard-split")
-
-    tried, links, found = None, None, None
-    placed = lists.withColumn("root", F.col("name"))
-    # every member with one of its list, three times over, as long as components differ
-    who = F.struct("name", "n", "most", "root")
-    for pivot in (F.min_by(who, F.struct(F.expr("n - most"), "name")), F.max(who), F.min_by(who, F.struct(F.xxhash64("name"), "name"))):
-        one = side(placed.groupBy("key").agg(pivot.alias("p")).select("key", "p.*"), "b")
-        pairs = side(placed, "a").join(one, "key").where("ra <> rb")
-        pairs = alike(pairs)
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-stars")
-        linked = written(verified(pairs), "jaccard-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = linked if links is None else links.unionByName(linked)
-        found = components(links)
-        placed = grouped(found)
+    def side(entries: DataFrame, x: str, *more: str) -> DataFrame:
+        return entries.select("key", F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("most").alias(f"m{x}"), *more)
+
+    # every member with three of its list
+    who = F.struct("name", "n", "most")
+    pivots = F.array(F.min_by(who, F.struct(F.expr("n - most"), "name")), F.max(who), F.min_by(who, F.struct(F.xxhash64("name"), "name")))
+    some = lists.groupBy("key").agg(pivots.alias("p")).select("key", F.explode(F.array_distinct("p")).alias("p")).select("key", "p.*")
+    tried = written(alike(side(lists, "a").join(side(some, "b"), "key")), "jaccard-stars")
+    with batch_rows(spark, BATCH_TEXTS):
+        links = written(verified(tried), "jaccard-links")
+    found = components(links)
 
     # what is still apart, each with each of another component
-    rest = alike(side(placed, "a").join(side(placed, "b"), "key").where("a < b AND ra <> rb")).join(tried, ["a", "b"], "left_anti")
-    more = written(verified(rest), "jaccard-more")
+    placed = lists.join(found.withColumnRenamed("node", "name"), "name", "left").select(*_ENTRY, F.coalesce("root", "name").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    placed = written(placed.join(split, "key", "left_semi"), "jaccard-split")
+    apart = side(placed, "a", F.col("root").alias("ra")).join(side(placed, "b", F.col("root").alias("rb")), "key")
+    rest = written(alike(apart.where("a < b AND ra <> rb")).join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+    removed(lists, placed, tried)
+    with batch_rows(spark, BATCH_TEXTS):
+        more = written(verified(rest), "jaccard-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
