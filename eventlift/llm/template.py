@@ -1,20 +1,20 @@
-"""Main text of web pages by the containers of a host's pages.
-
-A heuristic of containers and names.  It does not deduce a template from equivalence classes of words and tags:
-occurrence vectors are counted, but decide nothing.
-
-Containers of a page are named by their path with class names.  Those on enough pages of a host are its
-template, and what lies between them are its slots.  Of these the main one is found by
-going down from the root, as long as one container that is on its pages once holds most of
-the text; containers for menus, adverts, comments and the like are never entered.  Everything that
-remains in that slot is the page's text, also what all pages of the host repeat there.
+"""Main text of web pages by the containers and repeated blocks of a host's pages.
+
+Tokens of a page are its containers, named by their path with class names, and the blocks of text in them.
+A token's occurrence vector says how often it is on which pages; tokens of one vector form an equivalence class.
+Containers on enough pages of a host are its template, and what lies between them are its slots.  The main one is
+found by going down from the root, as long as one container that is on its pages once holds most of
+the text; containers for menus, adverts, comments and the like are never entered.  Blocks of the
+slot's own class, on the very pages that the slot is on and once on each, belong to the template as the slot does: where
+that many pages agree and most text differs, they are menus or notices, and are left out.  Classes of other vectors are content.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +25,8 @@ from eventlift.llm.tables import written
 
 #: Share of a host's pages that a valid class is on, and share of the text that a container is entered for.
 SUPPORT, MOST = 0.3, 0.6
+#: Pages that a class must be on for its blocks to be template text; on fewer, equal vectors may be chance.
+LEAST_PAGES = 10
 
 # Fixed values of the markup language.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -119,28 +121,45 @@ def walk(page: str, by_name: bool = True) -> Iterator[tuple[str, Element, str]]:
         yield "open", here, ""
 
 
-def main_text(page: str, slot: str, by_name: bool = True) -> str | None:
-    """Text of all blocks inside the containers of a path, joined by line ends; None if it has no such container."""
+def blocks_of(page: str, slot: str = "", by_name: bool = True) -> tuple[bool, list[tuple[str, str]]]:
+    """Whether a page has containers of a path, and (path, text) of the shown blocks inside them in order."""
     blocks, block = [], []
     inside = slot + "/"
-    met = not slot
+    met, place = not slot, slot
 
     def end():
         text = " ".join(html.unescape("".join(block)).split())
         if text:
-            blocks.append(text)
+            blocks.append((place, text))
         block.clear()
 
     for kind, element, text in walk(page, by_name):
         if kind == "text":
-            if not element.hidden and (element.path == slot or element.path.startswith(inside)):
+            if not element.hidden and (not slot or element.path == slot or element.path.startswith(inside)):
+                if not block:
+                    place = element.path
                 block.append(text)
         elif kind == "break":
             end()
         elif element.path == slot:
             met = True
     end()
-    return "\n".join(blocks) if met else None
+    return met, blocks
+
+
+def block_hash(path: str, text: str) -> int:
+    """A signed 64-bit hash of a block at its path."""
+    return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def main_text(page: str, slot: str, by_name: bool = True, template: frozenset[int] = frozenset()) -> str | None:
+    """Text of all blocks inside the containers of a path, joined by line ends; None if it has no such container.
+
+    Blocks of the template are left out, unless the page has no other.
+    """
+    met, blocks = blocks_of(page, slot, by_name)
+    own = [text for path, text in blocks if block_hash(path, text) not in template] if template else []
+    return "\n".join(own or [text for _, text in blocks]) if met else None
 
 
 def tokens(page: str, by_name: bool = True) -> dict[str, list]:
@@ -159,17 +178,11 @@ def tokens(page: str, by_name: bool = True) -> dict[str, list]:
     return out
 
 
-def main_slot(rows: list[tuple[str, int, int, int, int]], pages: int) -> str:
-    """Path of the main slot from (path, vector, pages, count, characters) of a host's containers.
-
-    Classes are the rows of one vector; those on enough pages are valid and nested by path.
-    """
-    classes = defaultdict(list)
-    for row in rows:
-        classes[row[1]].append(row)
-    valid = {r[0]: r for members in classes.values() for r in members if r[2] >= max(1, SUPPORT * pages)}
+def main_slot(rows: list[tuple[str, int, int, int]], pages: int) -> str:
+    """Path of the main slot from (path, pages, count, characters) of a host's containers; those on enough pages are nested by path."""
+    valid = {r[0]: r for r in rows if r[1] >= max(1, SUPPORT * pages)}
     held: dict[str, int] = defaultdict(int)
-    for path, _, _, _, chars in rows:
+    for path, _, _, chars in rows:
         parts = path.split("/")
         for i in range(1, len(parts) + 1):
             held["/".join(parts[:i])] += chars
@@ -182,70 +195,91 @@ def main_slot(rows: list[tuple[str, int, int, int, int]], pages: int) -> str:
             inner[above].append(path)
     at = ""
     while True:
-        once = [p for p in inner[at] if valid[p][3] == valid[p][2]]
+        once = [p for p in inner[at] if valid[p][2] == valid[p][1]]
         best = max(once, key=lambda p: (held[p], p), default=None)
         if best is None or not held[best] or held[best] < MOST * held[at]:
             return at
         at = best
 
 
+def template_blocks(slot: str, rows: list[tuple[str, int | None, int, int, int, int]]) -> list[int]:
+    """Hashes of the blocks in the slot's class, from (path, block, vector, pages, count, characters) of a host's tokens."""
+    own = next(r for r in rows if r[0] == slot and r[1] is None)
+    if own[3] < LEAST_PAGES:
+        return []
+    inside = [r for r in rows if not slot or r[0] == slot or r[0].startswith(slot + "/")]
+    blocks = [r for r in inside if r[1] is not None and r[2:5] == own[2:5]]
+    # what holds most of the text is no menu or notice: pages that are copies of each other
+    if sum(r[5] for r in blocks) > (1 - MOST) * sum(r[5] for r in inside if r[1] is None):
+        return []
+    return [r[1] for r in blocks]
+
+
 def host_of(column: str):
     """Lower-case host of an address, empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(F.col(column), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
-        out = [[], [], [], [], []]
+        out = [[], [], [], [], [], []]
         for page, host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).fill_null("").to_pylist()):
-            for path, (count, chars, _) in tokens(text).items():
-                for column, value in zip(out, (page, host, path, count, chars)):
+            rows = [(path, None, count, chars) for path, (count, chars, _) in tokens(text).items()]
+            blocks = Counter(blocks_of(text)[1])
+            rows += [(path, block_hash(path, block), count, count * len(block)) for (path, block), count in blocks.items()]
+            for path, block, count, chars in rows:
+                for column, value in zip(out, (page, host, path, block, count, chars)):
                     column.append(value)
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["page", "host", "path", "count", "chars"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["page", "host", "path", "block", "count", "chars"])
 
 
 def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        slots = []
+        slots, blocks = [], []
         for pages, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            slots.append(main_slot([tuple(r.values()) for r in rows], pages))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots, pa.string())], names=["host", "slot"])
+            rows = [tuple(r.values()) for r in rows]
+            slots.append(main_slot([(r[0], *r[3:]) for r in rows if r[1] is None], pages))
+            blocks.append(template_blocks(slots[-1], rows))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots, pa.string()), pa.array(blocks, pa.list_(pa.int64()))], names=["host", "slot", "blocks"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, slot in zip(batch.column(2).fill_null("").to_pylist(), batch.column(3).to_pylist()):
-            text = None if slot is None else main_text(page, slot)
+        for page, slot, blocks in zip(batch.column(2).fill_null("").to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            text = None if slot is None else main_text(page, slot, template=frozenset(blocks))
             for by_name in (True, False):
                 # a page off its host's template: its own containers decide; where names leave nothing, without them
                 if text is None or not by_name and not text:
-                    text = main_text(page, main_slot([(p, 0, 1, c, n) for p, (c, n, _) in tokens(page, by_name).items()], 1), by_name)
+                    text = main_text(page, main_slot([(p, 1, c, n) for p, (c, n, _) in tokens(page, by_name).items()], 1), by_name)
             texts.append(text)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slot) of every host of ``pages`` (page, host, html)."""
-    found = pages.mapInArrow(_counted, "page long, host string, path string, count long, chars long")
-    vectors = found.groupBy("host", "path").agg(
-        F.bit_xor(F.xxhash64("page", "count")).alias("vector"), F.count("*").alias("pages"), F.sum("count").alias("count"), F.sum("chars").alias("chars")
+    """(host, slot, blocks) of every host of ``pages`` (page, host, html)."""
+    found = pages.mapInArrow(_counted, "page long, host string, path string, block long, count long, chars long")
+    # pages and counts as one number: sums besides, as equal rows cancel out in an exclusive or
+    one = F.xxhash64("page", "count")
+    vectors = found.groupBy("host", "path", "block").agg(
+        F.xxhash64(F.bit_xor(one), F.sum(F.shiftrightunsigned(one, 30))).alias("vector"), F.count("*").alias("pages"), F.sum("count").alias("count"), F.sum("chars").alias("chars")
     )
-    number = vectors.where("path = ''").select("host", F.col("pages").alias("all"))
-    # what is on enough pages: as many paths as a few pages have, whatever the number of pages
-    kept = vectors.join(number, "host").where(f"pages >= {SUPPORT} * all")
-    lists = kept.groupBy("host").agg(F.max("all").alias("all"), F.collect_list(F.struct("path", "vector", "pages", "count", "chars")).alias("rows"))
-    return lists.mapInArrow(_chosen, "host string, slot string")
+    number = pages.groupBy("host").agg(F.count("*").alias("all"))
+    # what is on enough pages: as many tokens as a few pages have, whatever the number of pages
+    kept = vectors.join(number, "host").where(f"pages >= {SUPPORT} * all AND (block IS NULL OR pages >= {LEAST_PAGES})")
+    lists = kept.groupBy("host").agg(F.max("all").alias("all"), F.collect_list(F.struct("path", "block", "vector", "pages", "count", "chars")).alias("rows"))
+    return lists.mapInArrow(_chosen, "host string, slot string, blocks array<long>")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html; others are ignored).
 
     A null html is an empty page, whose text is empty.  Pages without a host in their url form
-    one host.  Repeated rows are repeated in the result.
+    one host.  Repeated rows are repeated in the result.  A block that stands once on every page of the
+    host's main slot, ten pages at least, is template text and left out.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     hosts = written(templates(rows.select(F.col("page_id").alias("page"), host_of("url").alias("host"), "html")), "page-templates")
-    marked = rows.withColumn("host", host_of("url")).join(hosts, "host", "left").select("page_id", "url", "html", "slot")
+    marked = rows.withColumn("host", host_of("url")).join(hosts, "host", "left").select("page_id", "url", "html", "slot", "blocks")
     return marked.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
