@@ -401,7 +401,7 @@ def ndjson_roundtrip(spark, sf_dir):
 def stream_roundtrip(spark, sf_dir):
     """Messages to files, the four-output job to its end; the hours of the funnel that the watermark has closed."""
     out = scratch(spark)
-    sinks.write_messages(encode_envelope(raw(spark, sf_dir)), f"{out}/messages")
+    sinks.write_event_messages(raw(spark, sf_dir), f"{out}/messages")
     events = ingest.parse_events(stream_messages(spark, "files", path=f"{out}/messages"))
     job.await_all(spark, job.start_all(events, out, f"{out}/checkpoints", trigger=None, realtime_trigger=None))
     taken_in = read_raw_lake(spark, f"{out}/raw").count()
@@ -411,7 +411,7 @@ def stream_roundtrip(spark, sf_dir):
 def fanout_roundtrip(spark, sf_dir):
     """Messages through the one-read job; real-time metrics from its rollup."""
     out = scratch(spark)
-    sinks.write_messages(encode_envelope(raw(spark, sf_dir)), f"{out}/messages")
+    sinks.write_event_messages(raw(spark, sf_dir), f"{out}/messages")
     events = ingest.parse_events(stream_messages(spark, "files", path=f"{out}/messages"))
     job.await_all(spark, [fanout.start_fanout(events, out, f"{out}/checkpoint", trigger=None, uuid_ids=False)])
     return fanout.metrics_from_minutes(fanout.read_output(spark, out, "minutes"))

@@ -58,16 +58,20 @@ def read_message_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.ENVELOPE).parquet(path)
 
 
+def arrival_time(received_at: Column | None = None) -> Column:
+    """The time that ``encode_envelope`` stamps."""
+    if received_at is None:
+        return F.coalesce(F.try_to_timestamp("received_at"), F.current_timestamp())
+    return received_at.cast("timestamp")
+
+
 def encode_envelope(events: DataFrame, received_at: Column | None = None) -> DataFrame:
     """Events to envelopes: JSON body stamped with ``received_at``, keyed by user.
 
     A given ``received_at`` is used for every row; otherwise a row keeps its own,
     and the current time fills a missing one.
     """
-    if received_at is None:
-        arrival = F.coalesce(F.try_to_timestamp("received_at"), F.current_timestamp())
-    else:
-        arrival = received_at.cast("timestamp")
+    arrival = arrival_time(received_at)
     text = iso_utc(arrival)
     body = [
         text.alias(name) if name == "received_at" else F.col(name) for name in schema.EVENT.names

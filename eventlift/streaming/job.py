@@ -83,12 +83,15 @@ def valid_only(events: DataFrame) -> DataFrame:
 
 
 def await_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Wait until all queries have ended; the first failure stops the rest and is raised."""
+    """Wait until all queries have ended; the first failure stops the rest and is raised.
+
+    Only these queries are waited for: what other queries of the session ended with before is none of theirs.
+    """
     running = list(queries)
     try:
         while any(q.isActive for q in running):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+            for query in running:
+                query.awaitTermination(0.2)  # raises its failure
         for query in running:
             if query.exception() is not None:
                 raise query.exception()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlift.sources.lake import read_raw_lake
+from eventlift.sources.messages import arrival_time, encode_envelope
 
 DEFAULT_TRIGGER = "30 seconds"
 PARTITIONS = ["event_date", "event_hour"]
@@ -104,6 +105,21 @@ def write_messages(
     )
 
 
+def dealt_messages(events: DataFrame) -> DataFrame:
+    """Envelopes of events in the ranges and order of ``write_messages``.
+
+    Dealing into ranges computes its input twice, once for a sample; so events are dealt and sorted first and
+    encoded once, after it.
+    """
+    order = "user_id", arrival_time()
+    return encode_envelope(events.repartitionByRange(*order).sortWithinPartitions(*order))
+
+
+def write_event_messages(events: DataFrame, path: str, mode: str = "append") -> None:
+    """Events to files of envelopes; one call is one batch of arrivals, as for ``write_messages``."""
+    dealt_messages(events).write.mode(mode).parquet(path)
+
+
 def publish_messages(
     messages: DataFrame, servers: str, topic: str, options: Mapping[str, str] | None = None
 ) -> None:
