@@ -58,7 +58,7 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
 
 
 def encode(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of all blocks in order, and the offset of each block's first word (and the end)."""
+    """Words of all blocks, which lie one after the other, in order, and the offset of each block's first word (and the end)."""
     values = values.astype(np.uint64)
     best = _selectors(_bits(values))
     ends = starts + lengths
@@ -75,8 +75,11 @@ def encode(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple
         return np.zeros(0, np.uint64), np.zeros(len(starts) + 1, np.int64)
     block = np.concatenate([a for a, _ in steps])
     place = np.concatenate([p for _, p in steps])
-    by_block = np.lexsort((place, block))
-    block, place = block[by_block], place[by_block]
+    # blocks lie one after the other, so the order of places is that of blocks
+    taken = np.zeros(len(values), bool)
+    taken[place] = True
+    place = np.flatnonzero(taken)
+    block = np.repeat(np.arange(len(starts)), np.bincount(block, minlength=len(starts)))
     chosen = best[place]
     size = np.where(chosen == 0, 2, 1)
     slot = np.cumsum(size) - size

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,7 +28,9 @@ from eventlift.llm.tables import new_path, width
 #: Ends a document.
 END = 0
 #: Distinct text pieces, and matches in them, whose ids a worker remembers.
-PIECES, MATCHES = 400_000, 1_000_000
+PIECES, MATCHES = 200_000, 500_000
+#: Bytes of text that are encoded at once, or one document.
+PIECE_BYTES = 4_000_000
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
@@ -35,6 +38,16 @@ _CUT = regex.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
 
 
+def encoder(path: str) -> Encoder:
+    """A worker's own encoder, which keeps what it remembers from task to task.
+
+    A task's function is copied with the globals it names, so it must not name ``_encoders`` itself.
+    """
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _cut(text: str) -> list[str]:
     """The text cut at each space between two characters that are not white space."""
     plain = text.split(" ")
@@ -43,6 +56,11 @@ def _cut(text: str) -> list[str]:
     return plain
 
 
+def _spelt(text: str) -> str:
+    """For Arrow's regular expressions, every character by its number."""
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
 class Known(dict):
     """Ids by text, worked out where a text is new."""
 
@@ -79,12 +97,18 @@ class Encoder:
         own = {ord(c) for c in letters if ord(c) < 256}
         others = iter(sorted(ord(c) for c in letters if ord(c) >= 256))
         self.alphabet = {b: b if b in own else next(others) for b in range(256)}
+        self.space = chr(self.alphabet[0x20])
+        white = f"[{_spelt(''.join(_WHITE))}]"
+        self.odd = "|".join([f"{white} ", f" {white}", "^ ", " $", *map(_spelt, self.added)])
         self.of_match = Known(self._match)
         self.of_piece = Known(lambda text: self._piece(" ", text) if text else b"")
         self.of_head = Known(lambda text: self._piece("", text))
 
     def _match(self, text: str) -> bytes:
-        spelt = text.encode().decode("latin-1").translate(self.alphabet)
+        if text.isascii() and text.isprintable():
+            spelt = text.replace(" ", self.space)
+        else:
+            spelt = text.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def _piece(self, lead: str, text: str) -> bytes:
@@ -97,30 +121,92 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def _forget(self) -> None:
         for known, most in ((self.of_piece, PIECES), (self.of_head, PIECES), (self.of_match, MATCHES)):
             if len(known) > most:
                 known.clear()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        self._forget()
         return [self.whole(t) if self.other_kind or any(a in t for a in self.added) else self._joined(_cut(t)) for t in texts]
 
     def _joined(self, cut: list[str]) -> bytes:
         head, cut[0] = cut[0], ""
         return self.of_head[head] + b"".join(map(self.of_piece.__getitem__, cut))
 
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column without nulls, one after the other, and the number of each text's.
+
+        Texts in which every space is between two other characters are cut by Arrow, and each distinct piece of them is
+        looked up once.  The others go one by one.
+        """
+        odd = np.ones(len(texts), bool) if self.other_kind else pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._plain(texts)
+        ids, lengths = self._plain(texts.filter(pa.array(~odd)))
+        parts = iter(np.split(ids, np.cumsum(lengths)[:-1]))
+        others = iter(self.encode(texts.filter(pa.array(odd)).to_pylist()))
+        each = [np.frombuffer(next(others), "<u4") if x else next(parts) for x in odd]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self._forget()
+        lists = pc.split_pattern(texts, " ")
+        words, first = lists.flatten(), lists.offsets.to_numpy()[:-1]
+        coded = words.dictionary_encode()
+        code = coded.indices.to_numpy()
+        found, two = self._pieces(coded.dictionary)
+        # a text's first piece has no space before it
+        heads = len(found) + np.arange(len(first))
+        found += map(self.of_head.__getitem__, words.take(pa.array(first)).to_numpy(zero_copy_only=False).tolist())
+        parts = two[code]
+        parts[first] = np.stack([heads, np.zeros(len(first), np.int64)], axis=1)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start = np.cumsum(size) - size
+        number = size[parts].ravel()
+        place = np.arange(int(number.sum())) + np.repeat(start[parts].ravel() - (np.cumsum(number) - number), number)
+        return np.frombuffer(b"".join(found), "<u4")[place], np.add.reduceat(number, 2 * first)
+
+    def _pieces(self, distinct: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of matches and pieces, none at first, and the two of them that make each of the distinct pieces after a space.
+
+        A piece of letters, then marks only, is two matches, which many pieces share.
+        """
+        words = pc.utf8_rtrim(distinct, characters=_MARKS)
+        plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        rows, chosen = np.flatnonzero(plain), pa.array(plain)
+        two = np.zeros((len(distinct), 2), np.int64)
+        found = [b""]
+        words, whole = words.filter(chosen), distinct.filter(chosen)
+        own = words.dictionary_encode()
+        two[rows, 0] = 1 + own.indices.to_numpy()
+        found += [self.of_match[" " + w] for w in own.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        marked = pc.not_equal(words, whole)
+        both = (x.filter(marked).to_numpy(zero_copy_only=False).tolist() for x in (whole, words))
+        ends = [t[len(w) :] for t, w in zip(*both)]
+        kinds = {m: len(found) + i for i, m in enumerate(dict.fromkeys(ends))}
+        found += map(self.of_match.__getitem__, kinds)
+        two[rows[marked.to_numpy(zero_copy_only=False)], 1] = [kinds[m] for m in ends]
+        rest = distinct.filter(pc.invert(chosen)).to_numpy(zero_copy_only=False).tolist()
+        two[~plain, 0] = len(found) + np.arange(len(rest))
+        found += map(self.of_piece.__getitem__, rest)
+        return found, two
+
 
 def _writer(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
+        known = encoder(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
             text = batch.column(1).fill_null("")
-            for first, last in pieces(text, 2_000_000):
-                ids = [x + end for x in encoder.encode(text.slice(first, last - first).to_pylist())]
-                lengths = np.array([len(x) // 4 for x in ids])
+            for first, last in pieces(text, PIECE_BYTES):
+                ids, lengths = known.column(text.slice(first, last - first))
+                ids, lengths = np.insert(ids, np.cumsum(lengths), END), lengths + 1
                 starts, sizes = simple8b.block_starts(lengths)
-                words, offsets = simple8b.encode(np.frombuffer(b"".join(ids), "<u4"), starts, sizes)
+                words, offsets = simple8b.encode(ids, starts, sizes)
                 number = -(-lengths // simple8b.BLOCK)
                 rows = np.concatenate([[0], np.cumsum(number)])
                 stored = words.astype("<u8").tobytes()
