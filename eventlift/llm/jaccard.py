@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from eventlift.llm.graph import components
 from eventlift.llm.shingles import mix, shingle_sets, signed
 from eventlift.llm.tables import batch_rows, removed, width, written
+from eventlift.llm.worker import lean
 
 #: Frequent shingles that are ordered last: at most so many, which bounds what tasks are sent.
 FREQUENT = 1 << 16
@@ -247,7 +248,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     hashed = texts.select("id", F.xxhash64("id", "text").alias("hash"), "text")
-    survey = written(hashed.mapInArrow(_surveyor(size, percent), "kind tinyint, x long, y long, z long, hash long"), "jaccard-survey")
+    survey = written(hashed.mapInArrow(lean(_surveyor(size, percent)), "kind tinyint, x long, y long, z long, hash long"), "jaccard-survey")
     members = survey.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("name"), F.col("z").alias("n_shingles"))
     costs = [tuple(r) for r in survey.where("kind = 2").groupBy("x").agg(F.sum("y"), F.sum("z")).collect()]  # a row a size class
     often = survey.where("kind = 1").groupBy("x").agg(F.sum("y").alias("n")).where(F.col("n") >= FREQUENT_FROM)
@@ -255,20 +256,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     frequent = np.sort(frequent.view(np.uint64))
     limit = boundary(costs)
 
-    entries = texts.select("text").mapInArrow(_poster(size, percent, frequent, limit), "key long, name long, n int, most int")
+    entries = texts.select("text").mapInArrow(lean(_poster(size, percent, frequent, limit)), "key long, name long, n int, most int")
     entries = entries.repartition(width(spark), "key").sortWithinPartitions("key", "name")
-    lists = written(entries.mapInArrow(_lists, "key long, name long, n int, most int"), "jaccard-lists")
+    lists = written(entries.mapInArrow(lean(_lists), "key long, name long, n int, most int"), "jaccard-lists")
 
     # the text of a set is that of one of its rows, which is found by a hash of doc_id and text as doc_ids may repeat
     whose = survey.where("kind = 0 AND y IS NOT NULL").groupBy(F.col("y").alias("name")).agg(F.min("hash").alias("hash"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        packed = hashed.select("hash", "text").mapInArrow(_packed, "hash long, packed binary").dropDuplicates(["hash"])
+        packed = hashed.select("hash", "text").mapInArrow(lean(_packed), "hash long, packed binary").dropDuplicates(["hash"])
         for name, at in (("a", "at_a"), ("b", "at_b")):
             pairs = pairs.join(whose.select(F.col("name").alias(name), F.col("hash").alias(at)), name)
         for at, text in (("at_a", "x"), ("at_b", "y")):
             pairs = pairs.join(packed.select(F.col("hash").alias(at), F.col("packed").alias(text)), at).drop(at)
-        return pairs.select("a", "b", "x", "y").mapInArrow(_verifier(size, percent), "a long, b long")
+        return pairs.select("a", "b", "x", "y").mapInArrow(lean(_verifier(size, percent)), "a long, b long")
 
     def alike(pairs: DataFrame) -> DataFrame:
         reach = f"{100 + percent} * least(ma, mb) >= {percent} * (na + nb)"

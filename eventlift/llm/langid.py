@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlift.llm.shingles import pieces
+from eventlift.llm.worker import lean
 
 #: The labelled sample a language is learned from: so many rows, so many symbols of each.
 SAMPLE_ROWS, SAMPLE_SYMBOLS = 128, 256
@@ -198,4 +199,4 @@ def predict_language(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     if not samples:
         return docs.withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(_predictor(samples), schema)
+    return docs.mapInArrow(lean(_predictor(samples)), schema)

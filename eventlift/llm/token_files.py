@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 
 from eventlift.llm import simple8b
 from eventlift.llm.shingles import pieces
-from eventlift.llm.tables import new_path, width
+from eventlift.llm.tables import batch_rows, new_path, width
+from eventlift.llm.worker import lean
 
 #: Ends a document.
 END = 0
 #: Distinct text pieces, and matches in them, whose ids a worker remembers.
-PIECES, MATCHES = 200_000, 500_000
+PIECES, MATCHES = 100_000, 300_000
 #: Bytes of text that are encoded at once, or one document.
 PIECE_BYTES = 4_000_000
+#: Rows of an incoming batch, as a task holds the texts of one twice.
+BATCH_ROWS = 1000
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
@@ -236,7 +239,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_writer(tokenizer), "part int, doc_id long, start long, n_tokens long, words binary, blocks binary").write.parquet(path)
+    with batch_rows(spark, BATCH_ROWS):
+        rows.mapInArrow(lean(_writer(tokenizer)), "part int, doc_id long, start long, n_tokens long, words binary, blocks binary").write.parquet(path)
 
 
 def decode_rows(words: pa.Array, blocks: pa.Array, lengths: np.ndarray) -> list[np.ndarray]:
