@@ -9,6 +9,12 @@ gives n - 1 anchors, not n squared.  The anchors of a text and a first text are
 tree over the places in the other finds the best chain to go on from, less a cost for the words
 between.  Chains, of one anchor also, are then aligned word by word: the words between anchors by edit distance, and
 beyond the ends past changed, left out and added words.
+
+Most pairs of texts share a stray anchor or two, so texts are not sent along with all of them: first the
+words next to the anchors go to the other text.  Where these show that the alignment ends too soon for a passage, the
+pair is done; where it goes on beyond them, or a chain has several runs, the pair is aligned on the whole texts.
+Occurrences of keys are shuffled packed, by leading bits of the key, in two kinds: the first of a key in a task's
+share, from which the first of all is found, and the others, which meet it one pack at a time.
 """
 
 from __future__ import annotations
@@ -17,11 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlift.llm.shingles import buffers, mix, pieces, shingle_hashes, signed, word_hashes
-from eventlift.llm.tables import width, written
+from eventlift.llm.tables import batch_rows, removed, width, written
+from eventlift.llm.worker import lean
 
 SEED, PART = 5, 2
 #: Longer keys as (words, places): of so many places in a row one starts a key.  Of any 50 words that two texts share one key of 36 is shared, of any 57 one of 50.
@@ -34,6 +42,10 @@ LEAST_WORDS, LEAST_SHARE = 50, 0.75
 _COSTS = (2, 3)
 #: Extension stops so far below its best score; it steps over so many words of one text at once.
 _DROP, _STEPS = 12, 4
+#: Words beside a run that are looked at first.
+_NEAR = 24
+#: Occurrences that a task packs at once, packs of an incoming batch, rows of an outgoing one, and rows with a text.
+PACKED, BATCH_PACKS, BATCH_ANCHORS, BATCH_TEXTS = 2_000_000, 200, 100_000, 2000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -75,31 +87,112 @@ def keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def _seeder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, last in pieces(batch.column(1)):
-            data, offsets = buffers(batch.column(1).slice(first, last - first))
-            words, at = word_hashes(data, offsets)
-            found = [keys(words[a:b]) for a, b in zip(at, at[1:])]
-            rows = np.repeat(np.arange(first, last), [len(f[0]) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate([f[0] for f in found]))), batch.column(0).take(pa.array(rows)), pa.array(np.concatenate([f[1] for f in found]).astype(np.int32))], names=["seed", "doc", "place"])
+def _packs(found: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """Occurrences (doc, hashes, places) by the first ``bits`` of the hash, at least 8, and kind: 0 the first of a hash, 1 others."""
+    found = sorted(found, key=lambda f: f[0])
+    seed, place = (np.concatenate([f[i] for f in found]) for i in (1, 2))
+    doc = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
+    order = np.argsort(seed, kind="stable")
+    inside = seed[order]
+    kind = np.zeros(len(seed), np.int64)
+    kind[order[1:]] = inside[1:] == inside[:-1]
+    group = (seed >> np.uint64(64 - bits)).astype(np.int64) * 2 + kind
+    order = np.argsort(group, kind="stable")
+    group, seed, doc, place = group[order], seed[order], doc[order], place[order].astype(np.int32)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    packer = zstandard.ZstdCompressor(level=1)
+    low = np.ascontiguousarray(seed.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
+    hashes, rest = [], []
+    for a, b in zip(starts, np.append(starts[1:], len(group))):
+        hashes.append(low[a:b].tobytes())
+        step = np.diff(doc[a:b], prepend=0).astype("<i8")
+        planes = (np.ascontiguousarray(x.view(np.uint8).reshape(b - a, -1).T).tobytes() for x in (step, place[a:b].astype("<i4")))
+        rest.append(packer.compress(b"".join(planes)))
+    return pa.RecordBatch.from_arrays([pa.array((group[starts] >> 1).astype(np.int32)), pa.array((group[starts] & 1).astype(np.int8)), pa.array(hashes, pa.binary()), pa.array(rest, pa.binary())], names=["bucket", "kind", "hashes", "rest"])
+
+
+def _unpacked(bucket: int, hashes: bytes, rest: bytes, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, doc, place) of a pack."""
+    n = len(hashes) // 7
+    seed = np.empty((n, 8), np.uint8)
+    seed[:, :7] = np.frombuffer(hashes, np.uint8).reshape(n, 7)
+    seed[:, 7] = bucket >> (bits - 8)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(rest), np.uint8)
+    step = np.ascontiguousarray(planes[: 8 * n].reshape(8, n).T).view("<i8").ravel()
+    place = np.ascontiguousarray(planes[8 * n :].reshape(4, n).T).view("<i4").ravel()
+    return seed.view("<u8").ravel(), np.cumsum(step), place
+
+
+def _seeder(bits: int):
+    """Packs of the keys of rows (doc, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, waiting = [], 0
+        for batch in batches:
+            docs = batch.column(0).to_pylist()
+            for first, last in pieces(batch.column(1)):
+                data, offsets = buffers(batch.column(1).slice(first, last - first))
+                words, at = word_hashes(data, offsets)
+                found += [(d, *keys(words[a:b])) for d, a, b in zip(docs[first:last], at, at[1:])]
+                waiting += sum(len(f[1]) for f in found[first - last :])
+                if waiting > PACKED:
+                    yield _packs(found, bits)
+                    found, waiting = [], 0
+        if waiting:
+            yield _packs(found, bits)
+
+    return run
+
+
+def _anchors(bits: int):
+    """From packs in order of (bucket, kind): each occurrence with the first of its key, where that is in another text."""
+
+    def leads(firsts: list[tuple]) -> tuple[tuple, tuple]:
+        """The first occurrence of each key, and the anchors of those that are not."""
+        seed, doc, place = (np.concatenate(c) for c in zip(*firsts))
+        order = np.lexsort((place, doc, seed))
+        seed, doc, place = seed[order], doc[order], place[order]
+        starts = np.flatnonzero(np.append(True, seed[1:] != seed[:-1]))
+        lead = seed[starts], doc[starts], place[starts]
+        return lead, anchored((seed, doc, place), lead)
 
+    def anchored(some: tuple, lead: tuple) -> tuple:
+        seed, doc, place = some
+        at = np.searchsorted(lead[0], seed)
+        other = lead[1][at] != doc
+        return doc[other], lead[1][at][other], place[other], lead[2][at][other]
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From occurrences in order of (seed, doc, place): each with the first of its seed, where that is in another text."""
-    held = None
-    for batch in batches:
-        seed, doc, place = (batch.column(i).to_numpy() for i in range(3))
-        if not len(seed):
-            continue
-        starts = np.flatnonzero(np.append(True, seed[1:] != seed[:-1]))
-        sizes = np.diff(np.append(starts, len(seed)))
-        lead, lead_place = np.repeat(doc[starts], sizes), np.repeat(place[starts], sizes)
-        if held is not None and held[0] == seed[0]:
-            lead[: sizes[0]], lead_place[: sizes[0]] = held[1], held[2]
-        held = seed[-1], lead[-1], lead_place[-1]
-        other = lead != doc
-        yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (doc, lead, place, lead_place)], names=["doc", "lead", "x", "y"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, firsts, lead, out, waiting = None, [], None, [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*out)]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "lead", "x", "y"])
+
+        for batch in batches:
+            for now, kind, hashes, rest in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if firsts and (now != bucket or kind):
+                    lead, found = leads(firsts)
+                    firsts = []
+                    out.append(found)
+                    waiting += len(found[0])
+                bucket = now
+                some = _unpacked(now, hashes, rest, bits)
+                if kind:
+                    out.append(anchored(some, lead))
+                    waiting += len(out[-1][0])
+                else:
+                    firsts.append(some)
+                if waiting > BATCH_ANCHORS:
+                    yield batch_of()
+                    waiting = 0
+        if firsts:
+            out.append(leads(firsts)[1])
+        if out:
+            yield batch_of()
+
+    return run
 
 
 def chains(x: list[int], y: list[int], seed: int = SEED, gap: float = GAP) -> list[list[int]]:
@@ -212,15 +305,24 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _straight(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int, int]:
-    """(words, agreeing ones, score) of the best common start of two sequences without steps."""
+class _Beyond(Exception):
+    """The answer depends on words that are cut off."""
+
+
+def _straight(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tuple[int, int, int]:
+    """(words, agreeing ones, score) of the best common start of two sequences without steps; ``cut`` if the first goes on."""
     most, size = min(len(a), len(b)), 32
+    cut = cut and len(a) < len(b)
+    if cut and not most:
+        raise _Beyond
     while most:
         n = min(most, size)
         same = a[:n] == b[:n]
         score = np.cumsum(np.where(same, 1, -cost))
         low = np.flatnonzero(np.maximum(np.maximum.accumulate(score), 0) - score > _DROP)
         if len(low) or n == most:
+            if cut and not len(low):
+                raise _Beyond
             score = score[: low[0]] if len(low) else score
             best = len(score) - 1 - int(score[::-1].argmax()) if len(score) else 0
             if not len(score) or score[best] < 0 or not same[best]:
@@ -230,20 +332,22 @@ def _straight(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int, int]:
     return 0, 0, 0
 
 
-def _extended(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int, int]:
-    """(words of a, of b, agreeing ones) by which a passage goes on into two sequences."""
+def _extended(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tuple[int, int, int]:
+    """(words of a, of b, agreeing ones) by which a passage goes on into two sequences; ``cut`` if the first goes on."""
     x, y, same = 0, 0, 0
-    n, agree, _ = _straight(a, b, cost)
+    n, agree, _ = _straight(a, b, cost, cut)
     while True:
         x, y, same = x + n, y + n, same + agree
         best = (0,)
         # a step is worth a look where some of the next words agree
         left, right = a[x : x + 12], b[y : y + 12]
+        if cut and len(left) < 12:
+            raise _Beyond
         for step in range(1, _STEPS + 1):
             for over, along in ((step, 0), (0, step)):
                 m = min(len(left) - over, len(right) - along)
                 if m > 0 and (left[over : over + m] == right[along : along + m]).any():
-                    n, agree, score = _straight(a[x + over :], b[y + along :], cost)
+                    n, agree, score = _straight(a[x + over :], b[y + along :], cost, cut)
                     best = max(best, (score - cost * step, -step, n, agree, over, along))
         if best[0] <= 0:
             return x, y, same
@@ -305,6 +409,53 @@ def passages_of(a: np.ndarray, b: np.ndarray, found: list[tuple[list[int], list[
     return out
 
 
+def _no_passage(near: np.ndarray, x: int, before: bool, after: bool, b: np.ndarray, y: int, n: int) -> bool:
+    """Whether a run of n words gives no passage, from the words ``near`` it, in which it is at x; before and after whether words are cut off there."""
+    try:
+        for cost in _COSTS:
+            back_x, back_y, back = _extended(near[:x][::-1], b[:y][::-1], cost, before)
+            on_x, on_y, on = _extended(near[x + n :], b[y + n :], cost, after)
+            size, same = n + max(back_x + on_x, back_y + on_y), n + back + on
+            if same >= LEAST_SHARE * size:
+                break
+    except _Beyond:
+        return False
+    return size < LEAST_WORDS or same < LEAST_SHARE * size
+
+
+def _nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chains with the words near their runs, where each chain is one run and these words are fewer than the text's (a)."""
+    for batch in batches:
+        near, total = [], []
+        xs, ns, sizes = (batch.column(i).to_pylist() for i in (2, 4, 5))
+        for i in range(batch.num_rows):
+            a = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint32)
+            total.append(len(a))
+            alone = max(sizes[i]) == 1 and sum(ns[i]) + 2 * _NEAR * len(ns[i]) < len(a)
+            near.append(b"".join(a[max(0, x - _NEAR) : x + n + _NEAR].tobytes() for x, n in zip(xs[i], ns[i])) if alone else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(total, pa.int32()), pa.array(near, pa.binary())], names=[*batch.schema.names[:6], "total", "near"])
+
+
+def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chains of which some may give a passage, from the words near them and the whole other text (b)."""
+    for batch in batches:
+        keep = []
+        xs, ys, ns, total = (batch.column(i).to_pylist() for i in (2, 3, 4, 6))
+        for i in range(batch.num_rows):
+            near = batch.column(7)[i].as_buffer()
+            if near is None:
+                keep.append(True)
+                continue
+            near, b = np.frombuffer(near, np.uint32), np.frombuffer(batch.column(8)[i].as_buffer(), np.uint32)
+            at, hopeless = 0, True
+            for x, y, n in zip(xs[i], ys[i], ns[i]):
+                first, last = max(0, x - _NEAR), min(total[i], x + n + _NEAR)
+                hopeless = hopeless and _no_passage(near[at : at + last - first], x - first, first > 0, last < total[i], b, y, n)
+                at += last - first
+            keep.append(not hopeless)
+        yield batch.select(batch.schema.names[:6]).filter(pa.array(keep, pa.bool_()))
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -342,14 +493,31 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
     # seeds and words must be those of one text: where a doc_id repeats, of its smallest
-    repeated = rows.groupBy("doc").count().where("count > 1").select("doc")
-    smallest = rows.join(repeated, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
-    rows = rows.join(repeated, "doc", "left_anti").unionByName(smallest)
-    found = rows.mapInArrow(_seeder, "seed long, doc long, place int").repartition(width(spark), "seed").sortWithinPartitions("seed", "doc", "place")
-    anchors = found.mapInArrow(_anchors, "doc long, lead long, x int, y int").repartition(width(spark), "doc", "lead").sortWithinPartitions("doc", "lead", "x", "y")
-    chained = written(anchors.mapInArrow(_chained, "doc long, lead long, xs array<int>, ys array<int>, ns array<int>, sizes array<int>"), "passages-chains")
-    wanted = chained.select("doc").unionAll(chained.select("lead")).distinct()
-    texts = rows.join(wanted, "doc", "left_semi")
-    words = written(texts.mapInArrow(_words, "doc long, words binary"), "passages-words")
-    both = chained.join(words.withColumnRenamed("words", "a"), "doc").join(words.select(F.col("doc").alias("lead"), F.col("words").alias("b")), "lead")
-    return both.select("doc", "lead", "xs", "ys", "ns", "sizes", "a", "b").mapInArrow(_aligned, "doc_id long, first_word long, n_words long, of_doc_id long, of_first_word long, of_n_words long, similarity double")
+    repeated = written(rows.groupBy("doc").count().where("count > 1").select("doc"), "passages-repeated")
+    if not repeated.isEmpty():
+        smallest = rows.join(repeated, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+        rows = written(rows.join(repeated, "doc", "left_anti").unionByName(smallest), "passages-texts")
+    bits = max(8, (8 * width(spark) - 1).bit_length())
+    packs = rows.mapInArrow(lean(_seeder(bits)), "bucket int, kind tinyint, hashes binary, rest binary")
+    packs = packs.repartition(width(spark), "bucket").sortWithinPartitions("bucket", "kind")
+    with batch_rows(spark, BATCH_PACKS):
+        anchors = written(packs.mapInArrow(lean(_anchors(bits)), "doc long, lead long, x int, y int"), "passages-anchors")
+    dealt = anchors.repartition(width(spark), "doc", "lead").sortWithinPartitions("doc", "lead", "x", "y")
+    pair = "doc long, lead long, xs array<int>, ys array<int>, ns array<int>, sizes array<int>"
+    chained = written(dealt.mapInArrow(lean(_chained), pair), "passages-chains")
+    removed(anchors)
+    words = written(rows.mapInArrow(lean(_words), "doc long, words binary"), "passages-words")
+
+    def side(words: DataFrame, doc: str, name: str) -> DataFrame:
+        return words.select(F.col("doc").alias(doc), F.col("words").alias(name))
+
+    columns = ["doc", "lead", "xs", "ys", "ns", "sizes"]
+    with batch_rows(spark, BATCH_TEXTS):
+        near = written(chained.join(side(words, "doc", "a"), "doc").select(*columns, "a").mapInArrow(lean(_nearby), f"{pair}, total int, near binary"), "passages-near")
+        kept = written(near.join(side(words, "lead", "b"), "lead").select(*columns, "total", "near", "b").mapInArrow(lean(_screened), pair), "passages-kept")
+    removed(chained, near)
+    wanted = kept.select("doc").unionAll(kept.select("lead")).distinct()
+    fewer = written(words.join(wanted, "doc", "left_semi"), "passages-wanted")
+    removed(words)
+    both = kept.join(side(fewer, "doc", "a"), "doc").join(side(fewer, "lead", "b"), "lead").select(*columns, "a", "b")
+    return both.mapInArrow(lean(_aligned), "doc_id long, first_word long, n_words long, of_doc_id long, of_first_word long, of_n_words long, similarity double")
