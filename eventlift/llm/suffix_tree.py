@@ -85,6 +85,21 @@ def windows(data: np.ndarray) -> np.ndarray:
     return out[data[DEPTH:] != START]
 
 
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each is there."""
+    inside = np.sort(values)
+    starts = np.flatnonzero(np.append(True, inside[1:] != inside[:-1])[: len(inside)])
+    return inside[starts], np.diff(np.append(starts, len(inside)))
+
+
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of values that keeps that of equal ones, where each distinct value starts in it, and these values."""
+    order = np.argsort(values, kind="stable")
+    inside = values[order]
+    starts = np.flatnonzero(np.append(True, inside[1:] != inside[:-1])[: len(inside)])
+    return order, starts, inside[starts]
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
     return found, np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
@@ -117,18 +132,19 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(_DOC, rows, chunk=pa.array(np.full(rows, chunk)), row=pa.array(np.arange(rows, dtype=np.int32)), doc_id=part.column(0), text_hash=part.column(1), n=pa.array(number))
                 if len(hashes):
                     row = np.repeat(np.arange(rows), number)
-                    words, inverse, n = np.unique(hashes, return_inverse=True, return_counts=True)
-                    places = row[np.argsort(inverse, kind="stable")].astype("<u2").tobytes()
-                    ends = np.concatenate([[0], np.cumsum(n * 2)]).astype(np.int32)
-                    known = np.bincount(inverse, train[row], len(words)).astype(np.int64)
+                    order, heads, words = grouped(hashes)
+                    row = row[order]
+                    places = row.astype("<u2").tobytes()
+                    ends = (2 * np.append(heads, len(row))).astype(np.int32)
+                    known = np.add.reduceat(train[row].astype(np.int64), heads)
                     binary = pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(places)])
                     yield _rows(_WORD, len(words), chunk=pa.array(np.full(len(words), chunk)), item=pa.array(signed(words)), n=pa.array(known), places=binary)
                 chunk += 1
                 learned = text.filter(pa.array(train))
                 for i, j in pieces(learned, PIECE_BYTES):
-                    found = pa.array(windows(normalised(learned.slice(i, j - i))[0])).value_counts()
-                    keys.append(found.field(0).to_numpy())
-                    counts.append(found.field(1).to_numpy())
+                    found, n = counted(windows(normalised(learned.slice(i, j - i))[0]))
+                    keys.append(found)
+                    counts.append(n)
                     waiting += len(found)
                     if waiting > 2 * FLUSH:
                         merged, n = _merged(keys, counts)
@@ -223,7 +239,11 @@ def _scored(model: Model):
             for first, last in pieces(batch.column(3), PIECE_BYTES):
                 data, offsets = normalised(batch.column(3).slice(first, last - first))
                 found = pa.array(windows(data)).dictionary_encode()
-                each = model.log10(found.dictionary.to_numpy())[found.indices.to_numpy()]
+                distinct = found.dictionary.to_numpy()
+                order = np.argsort(distinct)  # neighbours are looked up near each other
+                known = np.empty(len(distinct))
+                known[order] = model.log10(distinct[order])
+                each = known[found.indices.to_numpy()]
                 starts = offsets[:-1] - np.arange(len(offsets) - 1) * DEPTH
                 score.append(np.add.reduceat(each, starts))
             total = np.concatenate([*score, np.zeros(0)]) + batch.column(2).to_numpy()
