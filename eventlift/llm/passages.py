@@ -20,14 +20,16 @@ share, from which the first of all is found, and the others, which meet it one p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlift.llm.shingles import buffers, mix, pieces, shingle_hashes, signed, word_hashes
+from eventlift.llm.shingles import _STEP, buffers, mix, pieces, word_hashes
 from eventlift.llm.tables import batch_rows, removed, width, written
 from eventlift.llm.worker import lean
 
@@ -36,16 +38,22 @@ SEED, PART = 5, 2
 LONG = ((36, 15), (50, 8))
 #: Cost of a word between anchors, in either text.
 GAP = 0.1
+#: Places from one anchor to the next, alike in both texts, up to which it is always worth to go on: they cost less than an anchor gives.
+_CLOSE = int((SEED - GAP) / (2 * GAP))
 #: A passage has so many words at least, and such a share of them agrees.
 LEAST_WORDS, LEAST_SHARE = 50, 0.75
 #: Beyond the ends, a word that does not agree undoes so many that do: first the wider rule, then that of LEAST_SHARE.
 _COSTS = (2, 3)
 #: Extension stops so far below its best score; it steps over so many words of one text at once.
 _DROP, _STEPS = 12, 4
+#: It looks for a step where some of so many words agree.
+_AHEAD = 12
+#: Words beside a run that are looked at, of many runs at once.
+_SIGHT = 64
 #: Words beside a run that are looked at first.
 _NEAR = 24
-#: Occurrences that a task packs at once, packs of an incoming batch, rows of an outgoing one, and rows with a text.
-PACKED, BATCH_PACKS, BATCH_ANCHORS, BATCH_TEXTS = 2_000_000, 200, 100_000, 2000
+#: Occurrences that a task packs at once, packs of an incoming batch, rows of an outgoing one, rows with a text, and runs looked at together.
+PACKED, BATCH_PACKS, BATCH_ANCHORS, BATCH_TEXTS, BATCH_RUNS = 2_000_000, 200, 100_000, 2000, 20_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -56,49 +64,71 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def seeds(words: np.ndarray, seed: int = SEED, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the kept seeds of a text."""
-    if len(words) < seed:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found, _ = shingle_hashes(words, np.array([0, len(words)]), seed)
-    parts, _ = shingle_hashes(words, np.array([0, len(words)]), part)
-    n = seed - part + 1
-    least = parts[: len(found)].copy()
-    for i in range(1, n):
-        np.minimum(least, parts[i : i + len(found)], out=least)
-    place = np.flatnonzero((parts[: len(found)] == least) | (parts[n - 1 :] == least))
-    return mix(found[place]), place
-
-
-def keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the kept seeds and of the longer keys, which start at the least seed of a window of places."""
-    found, place = seeds(words)
-    hashes, places = [found], [place]
-    if len(words) >= min(LONG)[0]:
-        every = mix(shingle_hashes(words, np.array([0, len(words)]), SEED)[0])
+def _rolling(words: np.ndarray, size: int) -> np.ndarray:
+    """``shingle_hashes`` at every place of one row of words, before they are mixed."""
+    n = max(0, len(words) - size + 1)
+    total = np.full(n, np.uint64(size) * _STEP[63])
+    for j in range(size):
+        total += words[j : j + n] * _STEP[j]
+    return total
+
+
+def keys(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, place) of the kept seeds of rows of words, and of the longer keys, which start at the least seed of a window of places."""
+    counts = np.diff(rows)
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    ahead = np.repeat(rows[1:], counts) - np.arange(len(words))  # words from a place to the end of its row
+    if len(words) < SEED:
+        return np.zeros(0, np.uint64), row[:0], ahead[:0]
+    every, parts, last = mix(mix(_rolling(words, SEED))), mix(_rolling(words, PART)), SEED - PART
+    least = parts[: len(every)].copy()
+    for i in range(1, last + 1):
+        np.minimum(least, parts[i : i + len(every)], out=least)
+    inside = ahead[: len(every)] >= SEED
+    place = np.flatnonzero(((parts[: len(every)] == least) | (parts[last:] == least)) & inside)
+    hashes, places = [every[place]], [place]
+    if counts.max() >= min(LONG)[0]:
         sums = np.append(np.uint64(0), np.cumsum(words * _powers(_BASE, len(words))))
         back = _powers(_BACK, len(words))
         for size, window in LONG:
-            views = np.lib.stride_tricks.sliding_window_view(every, min(window, len(every)))
-            at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
-            at = at[at + size <= len(words)]
+            first = _least_places(every, window)
+            chosen = np.zeros(len(words), bool)
+            chosen[first[ahead[: len(first)] >= window + SEED - 1]] = True
+            at = np.flatnonzero(chosen & (ahead >= size))
             hashes.append(mix((sums[at + size] - sums[at]) * back[at] + np.uint64(size)))
             places.append(at)
-    return np.concatenate(hashes), np.concatenate(places)
+    place = np.concatenate(places)
+    return np.concatenate(hashes), row[place], place - rows[row[place]]
 
 
-def _packs(found: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
-    """Occurrences (doc, hashes, places) by the first ``bits`` of the hash, at least 8, and kind: 0 the first of a hash, 1 others."""
-    found = sorted(found, key=lambda f: f[0])
+def _least_places(values: np.ndarray, window: int) -> np.ndarray:
+    """The place of the first least value of each window of places."""
+    at, size = np.arange(len(values)), 1
+    while size < window:
+        step = min(size, window - size)
+        n = max(0, len(values) - step)
+        at = np.where(values[step:] < values[:n], at[step:], at[:n])
+        values = np.minimum(values[:n], values[step:])
+        size += step
+    return at
+
+
+def _packs(found: list[tuple[int | np.ndarray, np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """Occurrences (doc or docs, hashes, places) by the first ``bits`` of the hash, at least 8, and kind: 0 the first of a hash, 1 others."""
     seed, place = (np.concatenate([f[i] for f in found]) for i in (1, 2))
-    doc = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
-    order = np.argsort(seed, kind="stable")
+    doc = np.concatenate([np.broadcast_to(np.asarray(f[0], np.int64), len(f[1])) for f in found])
+    order = np.argsort(doc, kind="stable")
+    seed, doc, place = seed[order], doc[order], place[order].astype(np.int32)
+    # numbers of leading bits and place are sorted faster than places by hash; a hash among others of its leading bits may have several firsts
+    low = np.uint64(len(seed).bit_length())
+    order = (np.sort(seed >> low << low | np.arange(len(seed), dtype=np.uint64)) & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
     inside = seed[order]
     kind = np.zeros(len(seed), np.int64)
     kind[order[1:]] = inside[1:] == inside[:-1]
     group = (seed >> np.uint64(64 - bits)).astype(np.int64) * 2 + kind
-    order = np.argsort(group, kind="stable")
-    group, seed, doc, place = group[order], seed[order], doc[order], place[order].astype(np.int32)
+    # of 16 bits, numbers are sorted without comparing them
+    order = np.argsort(group.astype(np.uint16) if bits < 16 else group, kind="stable")
+    group, seed, doc, place = group[order], seed[order], doc[order], place[order]
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     packer = zstandard.ZstdCompressor(level=1)
     low = np.ascontiguousarray(seed.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
@@ -129,12 +159,12 @@ def _seeder(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, waiting = [], 0
         for batch in batches:
-            docs = batch.column(0).to_pylist()
+            docs = batch.column(0).to_numpy()
             for first, last in pieces(batch.column(1)):
                 data, offsets = buffers(batch.column(1).slice(first, last - first))
-                words, at = word_hashes(data, offsets)
-                found += [(d, *keys(words[a:b])) for d, a, b in zip(docs[first:last], at, at[1:])]
-                waiting += sum(len(f[1]) for f in found[first - last :])
+                hashes, row, place = keys(*word_hashes(data, offsets))
+                found.append((docs[first:last][row], hashes, place))
+                waiting += len(hashes)
                 if waiting > PACKED:
                     yield _packs(found, bits)
                     found, waiting = [], 0
@@ -150,9 +180,13 @@ def _anchors(bits: int):
     def leads(firsts: list[tuple]) -> tuple[tuple, tuple]:
         """The first occurrence of each key, and the anchors of those that are not."""
         seed, doc, place = (np.concatenate(c) for c in zip(*firsts))
-        order = np.lexsort((place, doc, seed))
+        order = np.argsort(seed)
+        equal = seed[order[1:]] == seed[order[:-1]]
+        several = np.flatnonzero(np.append(equal, False) | np.append(False, equal))
+        some = order[several]
+        order[several] = some[np.lexsort((place[some], doc[some], seed[some]))]
         seed, doc, place = seed[order], doc[order], place[order]
-        starts = np.flatnonzero(np.append(True, seed[1:] != seed[:-1]))
+        starts = np.flatnonzero(np.append(True, ~equal))
         lead = seed[starts], doc[starts], place[starts]
         return lead, anchored((seed, doc, place), lead)
 
@@ -239,28 +273,23 @@ def chains(x: list[int], y: list[int], seed: int = SEED, gap: float = GAP) -> li
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[list]]]:
-    """Rows of equal first columns from batches in their order."""
-    key, rows = None, None
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of batches in their order, cut only where one of the first two changes."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
         columns = [c.to_numpy() for c in batch.columns]
-        if not len(columns[0]):
+        if not batch.num_rows:
             continue
-        change = np.zeros(len(columns[0]), bool)
-        change[0] = True
-        for c in columns[:keys]:
-            change[1:] |= c[1:] != c[:-1]
-        starts = np.append(np.flatnonzero(change), len(change))
-        for a, b in zip(starts, starts[1:]):
-            own = tuple(c[a].item() for c in columns[:keys])
-            if own != key:
-                if key is not None:
-                    yield key, rows
-                key, rows = own, [[] for _ in columns[keys:]]
-            for r, c in zip(rows, columns[keys:]):
-                r += c[a:b].tolist()
-    if key is not None:
-        yield key, rows
+        change = np.zeros(batch.num_rows, bool)
+        change[0] = bool(held) and any(c[0] != h[-1] for c, h in zip(columns[:2], held[-1]))
+        change[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+        if change.any():
+            cut = int(np.flatnonzero(change)[-1])
+            yield [np.concatenate(c) for c in zip(*held, [c[:cut] for c in columns])]
+            held, columns = [], [c[cut:] for c in columns]
+        held.append(columns)
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,61 +297,65 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     A run is of anchors that overlap or touch at one distance, so all its words agree.
     """
-    out = []
-
-    def batch() -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64()] + 4 * [pa.list_(pa.int32())]
-        columns = list(zip(*out)) or [()] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "lead", "xs", "ys", "ns", "sizes"])
-
-    for (doc, lead), (x, y) in _groups(batches, 2):
-        # a place may be found by several keys
-        x, y = zip(*dict.fromkeys(zip(x, y)))
-        runs, sizes = [], []
-        for chain in chains(x, y):
-            before = len(runs)
-            for i in chain:
-                if len(runs) > before and x[i] - y[i] == runs[-1][0] - runs[-1][1] and x[i] <= runs[-1][0] + runs[-1][2]:
-                    runs[-1][2] = x[i] + SEED - runs[-1][0]
-                else:
-                    runs.append([x[i], y[i], SEED])
-            sizes.append(len(runs) - before)
-        out.append((doc, lead, *zip(*runs), sizes))
-        if len(out) > 5000:
-            yield batch()
-            out.clear()
-    yield batch()
-
-
-def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
-    """Words of the longest common subsequence of two short sequences."""
-    if not len(a) or not len(b):
-        return 0
-    row = np.zeros(len(b) + 1, np.int32)
-    for word in a:
-        met = np.append(0, row[:-1] + (b == word))
-        row = np.maximum.accumulate(np.maximum(row, met))
-    return int(row[-1])
+    names, ints = ["doc", "lead", "xs", "ys", "ns", "sizes"], pa.list_(pa.int32())
+    for doc, lead, x, y in _pairs(batches):
+        first = np.append(True, (doc[1:] != doc[:-1]) | (lead[1:] != lead[:-1]))
+        starts, step = np.flatnonzero(first), np.diff(x, prepend=0)
+        # At one distance and close together, all anchors are one chain: each goes on best from the one before.
+        apart = ~first & ((np.diff(x - y, prepend=0) != 0) | (step > _CLOSE))
+        plain = ~np.logical_or.reduceat(apart, starts)
+        counts = np.diff(np.append(starts, len(x)))
+        inside = np.repeat(plain, counts)
+        head = np.flatnonzero(inside & (first | (step > SEED)))
+        last = np.flatnonzero(inside & np.append(first[1:] | (step[1:] > SEED), True))
+        runs = np.add.reduceat(first | (step > SEED), starts, dtype=np.int32)[plain]
+        at = np.append(0, np.cumsum(runs)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(at, pa.array(v.astype(np.int32))) for v in (x[head], y[head], x[last] + SEED - x[head])]
+        sizes = pa.ListArray.from_arrays(np.arange(len(runs) + 1, dtype=np.int32), pa.array(runs))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[starts[plain]], pa.int64()), pa.array(lead[starts[plain]], pa.int64()), *lists, sizes], names=names)
+        out = []
+        for a, n in zip(starts[~plain].tolist(), counts[~plain].tolist()):
+            # a place may be found by several keys
+            out.append((doc[a], lead[a], *_runs(*zip(*dict.fromkeys(zip(x[a : a + n].tolist(), y[a : a + n].tolist()))))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), 2 * [pa.int64()] + 4 * [ints])], names=names)
 
 
-class _Beyond(Exception):
-    """The answer depends on words that are cut off."""
+def _runs(x: tuple[int, ...], y: tuple[int, ...]) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...], list[int]]:
+    """(places, places, words) of the runs of the chains of anchors, and how many runs each chain has."""
+    runs, sizes = [], []
+    for chain in chains(x, y):
+        before = len(runs)
+        for i in chain:
+            if len(runs) > before and x[i] - y[i] == runs[-1][0] - runs[-1][1] and x[i] <= runs[-1][0] + runs[-1][2]:
+                runs[-1][2] = x[i] + SEED - runs[-1][0]
+            else:
+                runs.append([x[i], y[i], SEED])
+        sizes.append(len(runs) - before)
+    return *zip(*runs), sizes
 
 
-def _straight(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tuple[int, int, int]:
-    """(words, agreeing ones, score) of the best common start of two sequences without steps; ``cut`` if the first goes on."""
+def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
+    """Words of the longest common subsequence of two short sequences, whose table is kept by its steps, as bits."""
+    at: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        at[word] = at.get(word, 0) | 1 << i
+    every = level = (1 << len(a)) - 1
+    for word in b.tolist():
+        met = level & at.get(word, 0)
+        level = ((level + met) | (level - met)) & every
+    return len(a) - level.bit_count()
+
+
+def _straight(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int, int]:
+    """(words, agreeing ones, score) of the best common start of two sequences without steps."""
     most, size = min(len(a), len(b)), 32
-    cut = cut and len(a) < len(b)
-    if cut and not most:
-        raise _Beyond
     while most:
         n = min(most, size)
         same = a[:n] == b[:n]
         score = np.cumsum(np.where(same, 1, -cost))
         low = np.flatnonzero(np.maximum(np.maximum.accumulate(score), 0) - score > _DROP)
         if len(low) or n == most:
-            if cut and not len(low):
-                raise _Beyond
             score = score[: low[0]] if len(low) else score
             best = len(score) - 1 - int(score[::-1].argmax()) if len(score) else 0
             if not len(score) or score[best] < 0 or not same[best]:
@@ -332,22 +365,20 @@ def _straight(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tup
     return 0, 0, 0
 
 
-def _extended(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tuple[int, int, int]:
-    """(words of a, of b, agreeing ones) by which a passage goes on into two sequences; ``cut`` if the first goes on."""
+def _extended(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int, int]:
+    """(words of a, of b, agreeing ones) by which a passage goes on into two sequences."""
     x, y, same = 0, 0, 0
-    n, agree, _ = _straight(a, b, cost, cut)
+    n, agree, _ = _straight(a, b, cost)
     while True:
         x, y, same = x + n, y + n, same + agree
         best = (0,)
         # a step is worth a look where some of the next words agree
-        left, right = a[x : x + 12], b[y : y + 12]
-        if cut and len(left) < 12:
-            raise _Beyond
+        left, right = a[x : x + _AHEAD], b[y : y + _AHEAD]
         for step in range(1, _STEPS + 1):
             for over, along in ((step, 0), (0, step)):
                 m = min(len(left) - over, len(right) - along)
                 if m > 0 and (left[over : over + m] == right[along : along + m]).any():
-                    n, agree, score = _straight(a[x + over :], b[y + along :], cost, cut)
+                    n, agree, score = _straight(a[x + over :], b[y + along :], cost)
                     best = max(best, (score - cost * step, -step, n, agree, over, along))
         if best[0] <= 0:
             return x, y, same
@@ -355,6 +386,75 @@ def _extended(a: np.ndarray, b: np.ndarray, cost: int, cut: bool = False) -> tup
         x, y = x + over, y + along
 
 
+class _Side(NamedTuple):
+    """Words beside many runs: where the nearest is, in which direction they go, how many are in sight, and whether there are more."""
+
+    words: np.ndarray
+    at: np.ndarray
+    way: int
+    sight: np.ndarray
+    more: np.ndarray
+
+    def of(self, rows: np.ndarray) -> _Side:
+        return self._replace(at=self.at[rows], sight=self.sight[rows], more=self.more[rows])
+
+    def past(self, n: np.ndarray) -> _Side:
+        return self._replace(at=self.at + self.way * n, sight=self.sight - n)
+
+
+def _straights(a: _Side, b: _Side, cost: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_straight`` gives for each pair of sides, and whether that may depend on words out of sight."""
+    most = np.minimum(a.sight, b.sight)
+    (best, words), beyond = np.zeros((2, len(most)), np.int64), np.zeros(len(most), bool)
+    whole = ~a.more & (a.sight == most) | ~b.more & (b.sight == most)
+    row, score, top, k = np.arange(len(most)), np.zeros(len(most), np.int64), np.zeros(len(most), np.int64), 0
+    i, j, end = a.at, b.at, most
+    while len(row):
+        going = k < end
+        if not going.all():
+            beyond[row[~going]] = ~whole[row[~going]]
+            row, score, top, i, j, end = (v[going] for v in (row, score, top, i, j, end))
+        score = score + np.where(a.words[i + a.way * k] == b.words[j + b.way * k], 1, -cost)
+        k += 1
+        better = score >= top
+        best[row[better]], words[row[better]] = score[better], k
+        top = np.maximum(top, score)
+        high = top - score <= _DROP
+        if not high.all():
+            row, score, top, i, j, end = (v[high] for v in (row, score, top, i, j, end))
+    return words, (best + cost * words) // (1 + cost), best, beyond
+
+
+def _extensions(a: _Side, b: _Side, cost: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_extended`` gives for each pair of sides, and whether that may depend on words out of sight."""
+    steps = [s for n in range(1, _STEPS + 1) for s in ((n, 0), (0, n))]
+    over, along = (np.array(c) for c in zip(*steps))
+    x, y, same = np.zeros((3, len(a.at)), np.int64)
+    x[:], same[:], _, beyond = _straights(a, b, cost)
+    y[:] = x
+    row = np.flatnonzero(~beyond)
+    while len(row):
+        left, right = a.of(row).past(x[row]), b.of(row).past(y[row])
+        short = left.more & (left.sight < _AHEAD) | right.more & (right.sight < _AHEAD)
+        each = np.repeat(np.arange(len(row)), len(steps))
+        ways = np.tile(np.arange(len(steps)), len(row))
+        fit = np.flatnonzero(~short[each] & (left.sight[each] > over[ways]) & (right.sight[each] > along[ways]))
+        n, agree, score, far = np.zeros((4, len(each)), np.int64)
+        n[fit], agree[fit], score[fit], far[fit] = _straights(left.of(each[fit]).past(over[ways[fit]]), right.of(each[fit]).past(along[ways[fit]]), cost)
+        gain = score - cost * (over + along)[ways]
+        # most gained, then fewest words stepped over, most words, most agreeing ones; at last a step in the first text
+        rank = (((gain * 8 - (over + along)[ways]) * 256 + n) * 256 + agree).reshape(-1, len(steps))
+        pick = np.arange(len(row)) * len(steps) + rank.argmax(axis=1)
+        lost = short | far.reshape(-1, len(steps)).any(axis=1)
+        beyond[row[lost]] = True
+        on = ~lost & (gain[pick] > 0)
+        row, pick = row[on], pick[on]
+        x[row] += over[ways[pick]] + n[pick]
+        y[row] += along[ways[pick]] + n[pick]
+        same[row] += agree[pick]
+    return x, y, same, beyond
+
+
 def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], ns: list[int]) -> tuple[tuple[int, int, int, int, int], int, int]:
     """(start, end) in both texts and the number of agreeing words of the passage at a chain's best part; that part's first and last run.
 
@@ -409,61 +509,117 @@ def passages_of(a: np.ndarray, b: np.ndarray, found: list[tuple[list[int], list[
     return out
 
 
+def _beside(words: np.ndarray, start: np.ndarray, n: np.ndarray, before: np.ndarray, after: np.ndarray, cut: tuple = (False, False)) -> tuple[_Side, _Side]:
+    """The words on both sides of runs of n words from ``start``, with so many before and after; ``cut`` where there are more."""
+    return (
+        _Side(words, start - 1, -1, np.minimum(before, _SIGHT), (before > _SIGHT) | cut[0]),
+        _Side(words, start + n, 1, np.minimum(after, _SIGHT), (after > _SIGHT) | cut[1]),
+    )
+
+
+def _hopeless(n: np.ndarray, a: tuple[_Side, _Side], b: tuple[_Side, _Side]) -> np.ndarray:
+    """Which runs of n words that stand alone give no passage, as far as the words in sight tell."""
+    out = np.zeros(len(n), bool)
+    for first in range(0, len(n), BATCH_RUNS):
+        row = np.arange(first, min(first + BATCH_RUNS, len(n)))
+        for cost in _COSTS:
+            back_x, back_y, back, far = _extensions(a[0].of(row), b[0].of(row), cost)
+            on_x, on_y, on, further = _extensions(a[1].of(row), b[1].of(row), cost)
+            size, same = n[row] + np.maximum(back_x + on_x, back_y + on_y), n[row] + back + on
+            share = same >= LEAST_SHARE * size
+            known = ~(far | further)
+            out[row] = known & ((size < LEAST_WORDS) | ~share)
+            row = row[known & ~share]
+    return out
+
+
 def _no_passage(near: np.ndarray, x: int, before: bool, after: bool, b: np.ndarray, y: int, n: int) -> bool:
     """Whether a run of n words gives no passage, from the words ``near`` it, in which it is at x; before and after whether words are cut off there."""
-    try:
-        for cost in _COSTS:
-            back_x, back_y, back = _extended(near[:x][::-1], b[:y][::-1], cost, before)
-            on_x, on_y, on = _extended(near[x + n :], b[y + n :], cost, after)
-            size, same = n + max(back_x + on_x, back_y + on_y), n + back + on
-            if same >= LEAST_SHARE * size:
-                break
-    except _Beyond:
-        return False
-    return size < LEAST_WORDS or same < LEAST_SHARE * size
+    x, y, n = (np.array([v]) for v in (x, y, n))
+    beside = _beside(near, x, n, x, len(near) - x - n, (np.array([before]), np.array([after])))
+    return bool(_hopeless(n, beside, _beside(b, y, n, y, len(b) - y - n))[0])
+
+
+def _lengths(column: pa.Array) -> np.ndarray:
+    """Words or numbers in each row of a column; null counts as empty."""
+    size = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.divide(pc.binary_length(column), 4)
+    return size.fill_null(0).to_numpy()
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words or numbers of all rows of a column one after the other, and the n + 1 offsets of the rows in them."""
+    if pa.types.is_list(column.type):
+        values = column.flatten().to_numpy()
+    else:
+        column = column.fill_null(b"").cast(pa.large_binary())
+        _, at, data = column.buffers()
+        at = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else [0, 0]
+        values = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(np.uint32) if at[0] < at[-1] else np.zeros(0, np.uint32)
+    return values, np.append(0, np.cumsum(_lengths(column), dtype=np.int64))
 
 
 def _nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains with the words near their runs, where each chain is one run and these words are fewer than the text's (a)."""
     for batch in batches:
-        near, total = [], []
-        xs, ns, sizes = (batch.column(i).to_pylist() for i in (2, 4, 5))
-        for i in range(batch.num_rows):
-            a = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint32)
-            total.append(len(a))
-            alone = max(sizes[i]) == 1 and sum(ns[i]) + 2 * _NEAR * len(ns[i]) < len(a)
-            near.append(b"".join(a[max(0, x - _NEAR) : x + n + _NEAR].tobytes() for x, n in zip(xs[i], ns[i])) if alone else None)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(total, pa.int32()), pa.array(near, pa.binary())], names=[*batch.schema.names[:6], "total", "near"])
+        (x, at), (n, _), (size, _), (a, start) = (_flat(batch.column(i)) for i in (2, 4, 5, 6))
+        row, total = np.repeat(np.arange(batch.num_rows), np.diff(at)), np.diff(start)
+        words = np.append(0, np.cumsum(n + 2 * _NEAR, dtype=np.int64))
+        alone = np.bincount(np.repeat(np.arange(batch.num_rows), _lengths(batch.column(5)))[size > 1], minlength=batch.num_rows) == 0
+        alone &= words[at[1:]] - words[at[:-1]] < total
+        first, last = np.maximum(0, x - _NEAR), np.where(alone[row], np.minimum(total[row], x + n + _NEAR), 0)
+        wide = np.maximum(0, last - first)
+        ends = np.append(0, np.cumsum(wide))
+        near = a[np.repeat(start[row] + first - ends[:-1], wide) + np.arange(ends[-1])].tobytes()
+        ends = 4 * ends[at]
+        found = [near[i:j] if some else None for some, i, j in zip(alone.tolist(), ends.tolist(), ends[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(total, pa.int32()), pa.array(found, pa.binary())], names=[*batch.schema.names[:6], "total", "near"])
 
 
 def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains of which some may give a passage, from the words near them and the whole other text (b)."""
     for batch in batches:
-        keep = []
-        xs, ys, ns, total = (batch.column(i).to_pylist() for i in (2, 3, 4, 6))
-        for i in range(batch.num_rows):
-            near = batch.column(7)[i].as_buffer()
-            if near is None:
-                keep.append(True)
-                continue
-            near, b = np.frombuffer(near, np.uint32), np.frombuffer(batch.column(8)[i].as_buffer(), np.uint32)
-            at, hopeless = 0, True
-            for x, y, n in zip(xs[i], ys[i], ns[i]):
-                first, last = max(0, x - _NEAR), min(total[i], x + n + _NEAR)
-                hopeless = hopeless and _no_passage(near[at : at + last - first], x - first, first > 0, last < total[i], b, y, n)
-                at += last - first
-            keep.append(not hopeless)
+        (x, at), (y, _), (n, _) = (_flat(batch.column(i)) for i in (2, 3, 4))
+        row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+        keep = batch.column(7).is_null().to_numpy(zero_copy_only=False).copy()
+        alone = ~keep[row]
+        row, x, y, n = row[alone], *(v[alone].astype(np.int64) for v in (x, y, n))
+        (near, _), (b, start) = (_flat(batch.column(i)) for i in (7, 8))
+        total = batch.column(6).to_numpy()[row]
+        first, last = np.maximum(0, x - _NEAR), np.minimum(total, x + n + _NEAR)
+        before = x - first
+        a = _beside(near, np.cumsum(last - first) - (last - first) + before, n, before, last - x - n, (first > 0, last < total))
+        hopeless = _hopeless(n, a, _beside(b, start[row] + y, n, y, start[row + 1] - start[row] - y - n))
+        keep[row[~hopeless]] = True
         yield batch.select(batch.schema.names[:6]).filter(pa.array(keep, pa.bool_()))
 
 
+def _open_chains(batch: pa.RecordBatch) -> list[list[tuple[list[int], list[int], list[int]]]]:
+    """The chains of each row but those of one run that give no passage, from both texts."""
+    (x, at), (y, _), (n, _), (size, chain) = (_flat(batch.column(i)) for i in (2, 3, 4, 5))
+    (a, left), (b, right) = (_flat(batch.column(i)) for i in (6, 7))
+    x, y, n = (v.astype(np.int64) for v in (x, y, n))
+    starts = np.cumsum(size) - size
+    row = np.repeat(np.arange(batch.num_rows), np.diff(chain))
+    alone = np.flatnonzero(size == 1)
+    run, own = starts[alone], row[alone]
+    ends = np.diff(left)[own] - x[run] - n[run], np.diff(right)[own] - y[run] - n[run]
+    kept = np.ones(len(size), bool)
+    kept[alone] = ~_hopeless(n[run], _beside(a, left[own] + x[run], n[run], x[run], ends[0]), _beside(b, right[own] + y[run], n[run], y[run], ends[1]))
+    out: list[list] = [[] for _ in range(batch.num_rows)]
+    for c in np.flatnonzero(kept).tolist():
+        part = slice(starts[c], starts[c] + size[c])
+        out[row[c]].append((x[part].tolist(), y[part].tolist(), n[part].tolist()))
+    return out
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        docs, leads, xs, ys, ns, sizes = (batch.column(i).to_pylist() for i in range(6))
-        for i in range(batch.num_rows):
+        docs, leads = (batch.column(i).to_pylist() for i in range(2))
+        for i, found in enumerate(_open_chains(batch)):
+            if not found:
+                continue
             a, b = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint32) for c in (6, 7))
-            ends = np.cumsum(sizes[i]).tolist()
-            found = [(xs[i][e - n : e], ys[i][e - n : e], ns[i][e - n : e]) for e, n in zip(ends, sizes[i])]
             for x0, x1, y0, y1, same in passages_of(a, b, found):
                 out.append((docs[i], x0, x1 - x0, leads[i], y0, y1 - y0, same / max(x1 - x0, y1 - y0)))
         columns = list(zip(*out)) or [()] * 7
